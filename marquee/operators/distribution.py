@@ -22,27 +22,27 @@ def histogram(frame: DataFrame, column: str, bins: int = 20) -> DataFrame:
     range is half a unit to each side of it.
     """
     counts = value_counts(frame.where(F.col(column).isNotNull()), [column])
-    # ``n`` is part of the edge query so that it shares the shuffle of ``counts``.
+    lowest, highest = F.min(column).cast("double"), F.max(column).cast("double")
+    margin = F.when(lowest == highest, 0.5).otherwise(0.0)
+    # The row count is asked for only to share the shuffle of ``counts``.
     edges = counts.agg(
         F.struct(
-            F.min(column).cast("double").alias("low"),
-            F.max(column).cast("double").alias("high"),
-            F.sum("n").alias("rows"),
+            (lowest - margin).alias("low"), (highest + margin).alias("high"), F.sum("n").alias("rows")
         )
     ).scalar()
-    flat = edges.getField("low") == edges.getField("high")
-    low = F.when(flat, edges.getField("low") - 0.5).otherwise(edges.getField("low"))
-    high = F.when(flat, edges.getField("high") + 0.5).otherwise(edges.getField("high"))
-    place = F.floor((F.col(column) - low) / (high - low) * bins)
+    low, span = F.col("edges.low"), F.col("edges.high") - F.col("edges.low")
+    place = F.floor((F.col(column) - low) / span * bins)
     filled = (
-        counts.select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"), "n")
+        counts.withColumn("edges", edges)
+        .select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"), "n")
         .groupBy("bin")
         .agg(F.sum("n").alias("n"))
     )
-    width = (high - low) / bins
+    width = span / bins
     listed = frame.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (
         listed.join(filled, "bin", "left")
+        .withColumn("edges", edges)
         .select(
             "bin",
             (low + F.col("bin") * width).alias("bin_start"),

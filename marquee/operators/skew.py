@@ -43,6 +43,8 @@ def spread_join(
     """
     if ways is None:
         ways = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Said before the join, so that the search for frequent keys can share the shuffles below.
+    left = left.where(F.col(key).isNotNull())
     columns = [*left.columns, *(c for c in right.columns if c != key)]
     if right_by:
         ways = max(1, round(ways**0.5))

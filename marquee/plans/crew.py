@@ -50,15 +50,11 @@ def collaboration_network(principals: DataFrame, ways: int | None = None) -> Dat
     people comes up once per title.  Titles with a large share of all credits
     are joined in parts.
     """
-    credits = summarise(
-        principals.where(F.col("category").isin("director", "producer")),
-        ["tconst", "category", "nconst"],
-        times=F.count("*"),
-    )
+    credits = principals.where(F.col("category").isin("director", "producer"))
     directors, producers = (
-        credits.where(F.col("category") == role).select(
-            "tconst", F.col("nconst").alias(f"{role}_id"), F.col("times").alias(f"{role}_times")
-        )
+        credits.where(F.col("category") == role)
+        .groupBy("tconst", F.col("nconst").alias(f"{role}_id"))
+        .agg(F.count("*").alias(f"{role}_times"))
         for role in ("director", "producer")
     )
     pairs = spread_join(
@@ -109,9 +105,8 @@ def crew_contribution(
             ["nconst", "avg_title_rating", "total_titles"],
             titles=F.sort_array(F.collect_list("primaryTitle")),
         ).orderBy(*order)
-    return listed.select("nconst", "avg_title_rating", "total_titles", "tconst", "primaryTitle").orderBy(
-        *order, "tconst"
-    )
+    shown = ("nconst", "avg_title_rating", "total_titles", "tconst", "primaryTitle", "averageRating")
+    return listed.select(*shown).orderBy(*order, "tconst")
 
 
 def credited_people(crew: DataFrame, principals: DataFrame) -> DataFrame:

@@ -16,10 +16,7 @@ def _case(column: str, values: dict[str, str]) -> str:
     return f"CASE {column} {arms} END"
 
 
-def _genre(name: str) -> str:
-    a, b, modulus, rest = GENRES[name]
-    return f"CASE WHEN ({a} * o_orderkey + {b} * o_custkey) % {modulus} = {rest} THEN '{name}' END"
-
+_GENRE_ARMS = ", ".join(f"CASE WHEN {condition} THEN '{name}' END" for name, condition in GENRES.items())
 
 VIEWS = {
     "titles": f"""
@@ -30,11 +27,11 @@ VIEWS = {
                CASE WHEN o_orderkey % 17 <> 0 THEN cast(year(o_orderdate) AS integer) END AS "startYear",
                CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 29 <> 0
                     THEN cast(floor(o_totalprice / 2500e0) AS integer) END AS "runtimeMinutes",
-               nullif(concat_ws(',', {", ".join(_genre(g) for g in GENRES)}), '') AS genres
+               nullif(concat_ws(',', {_GENRE_ARMS}), '') AS genres
         FROM orders""",
     "ratings": """
         SELECT cast(l_orderkey AS varchar) AS tconst,
-               floor(10e0 * sum(round(100e0 * l_discount)) / count(*)) / 10e0 AS "averageRating",
+               floor(10e0 * sum(floor(100e0 * l_discount + 0.5e0)) / count(*)) / 10e0 AS "averageRating",
                try_cast(sum(l_quantity) AS integer) AS "numVotes"
         FROM lineitem GROUP BY l_orderkey""",
     "crew": """
@@ -107,15 +104,18 @@ def oracle(key: str, select: str) -> None:
 MEAN = six('avg("averageRating")', "avg_rating")
 SPREAD = six('stddev_samp("averageRating")', "rating_stddev")
 PERFORMANCE = f"""role, nconst, {six("avg_rating")}, num_titles, total_votes, {six("weighted_popularity")}"""
-TITLE_COLUMNS = 'tconst, "primaryTitle", "titleType", "isAdult", "startYear", "runtimeMinutes", genres'
 RATING_COLUMNS = f"""tconst, {six('"averageRating"', "averageRating")}, "numVotes" """
 
 ORACLE["load_parquet"] = " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, count(*) AS num_rows, cast(sum({key}) AS bigint) AS key_sum FROM {table}"
     for table, key in STAR_KEYS.items()
 )
-oracle("read_tsv", f"SELECT {TITLE_COLUMNS} FROM titles")
-oracle("null_markers", f"SELECT {TITLE_COLUMNS} FROM titles")
+for _key in ("read_tsv", "null_markers"):
+    oracle(
+        _key,
+        """SELECT tconst, "primaryTitle", "titleType", "isAdult", cast("startYear" AS double) AS "startYear",
+                  cast("runtimeMinutes" AS double) AS "runtimeMinutes", genres FROM titles""",
+    )
 oracle("ingest_tsv_to_parquet", f"SELECT {RATING_COLUMNS} FROM ratings")
 oracle("typed_ratings", f"SELECT {RATING_COLUMNS} FROM ratings")
 
@@ -199,12 +199,16 @@ oracle(
     """SELECT tconst, string_split(genres, ',')[1] AS first_genre, cast(len(string_split(genres, ',')) AS integer) AS size
        FROM titles WHERE genres IS NOT NULL""",
 )
-for _key, _kind in (("left", "LEFT JOIN"), ("inner", "JOIN")):
-    oracle(
-        f"join_titles_ratings_{_key}",
-        f"""SELECT tconst, "titleType", {six('"averageRating"', "averageRating")}, "numVotes"
-            FROM titles {_kind} ratings USING (tconst)""",
-    )
+oracle(
+    "join_titles_ratings_left",
+    f"""SELECT tconst, "titleType", {six('"averageRating"', "averageRating")}, cast("numVotes" AS double) AS "numVotes"
+        FROM titles LEFT JOIN ratings USING (tconst)""",
+)
+oracle(
+    "join_titles_ratings_inner",
+    f"""SELECT tconst, "titleType", {six('"averageRating"', "averageRating")}, "numVotes"
+        FROM titles JOIN ratings USING (tconst)""",
+)
 oracle(
     "join_three_way",
     f"""SELECT tconst, {six('"averageRating"', "averageRating")}, directors, writers
@@ -395,8 +399,9 @@ oracle(
 )
 oracle(
     "crew_contribution",
-    f"""SELECT nconst, {six("avg_title_rating")}, total_titles, tconst, "primaryTitle"
-        FROM (SELECT tconst, "primaryTitle", unnest(string_split(directors, ',')) AS nconst
+    f"""SELECT nconst, {six("avg_title_rating")}, total_titles, tconst, "primaryTitle",
+               {six('"averageRating"', "averageRating")}
+        FROM (SELECT tconst, "primaryTitle", "averageRating", unnest(string_split(directors, ',')) AS nconst
               FROM rated JOIN crew USING (tconst))
         JOIN (SELECT nconst, avg("averageRating") AS avg_title_rating, count(*) AS total_titles
               FROM (SELECT "averageRating", unnest(string_split(directors, ',')) AS nconst
@@ -405,7 +410,7 @@ oracle(
               ORDER BY round(avg_title_rating, 9) DESC, nconst LIMIT 10) USING (nconst)""",
 )
 for _key in ("director_writer_performance", "crew_performance_and_ratings"):
-    oracle(_key, f"SELECT {PERFORMANCE} FROM performance")
+    oracle(_key, f"SELECT * REPLACE (cast(total_votes AS double) AS total_votes) FROM (SELECT {PERFORMANCE} FROM performance)")
 _HIGH = f"""SELECT * FROM performance
             WHERE round(avg_rating, 9) >= cast({HIGH_RATING} AS double) AND num_titles >= {HIGH_TITLES}"""
 oracle("high_performing_crew", f"SELECT {PERFORMANCE} FROM ({_HIGH})")

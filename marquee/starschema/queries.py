@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +59,11 @@ def shown(name: str, kind: str) -> Column:
     return value.alias(name)
 
 
+def as_double(frame: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers with nulls among them, shown as doubles: pandas does so on one side only."""
+    return frame.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 # Sources and sinks
 
 
@@ -79,7 +85,7 @@ def load_parquet(star: StarCatalogue) -> DataFrame:
 def read_tsv(star: StarCatalogue) -> DataFrame:
     path = scratch_folder(star.spark, "tsv")
     ingest.write_text(star.raw("titles"), path)
-    return catalogue.read_text(star.spark, path, "titles")
+    return as_double(catalogue.read_text(star.spark, path, "titles"), "startYear", "runtimeMinutes")
 
 
 @query
@@ -113,10 +119,14 @@ def table_schemas(star: StarCatalogue) -> DataFrame:
 def format_comparison(star: StarCatalogue) -> DataFrame:
     base = scratch_folder(star.spark, "formats")
     compared = ("titles", "ratings", "crew", "principals")
-    for table in compared:
+
+    def store(table: str) -> None:
         frame = star.raw(table)
         ingest.write_text(frame, catalogue.join_path(base, TABLES[table].text_file))
         frame.write.parquet(catalogue.join_path(base, TABLES[table].parquet_dir))
+
+    with ThreadPool(len(compared)) as jobs:
+        jobs.map(store, compared)
     return formats.compare_formats(star.spark, base, base, compared).select(
         "dataset",
         "tsv_count",
@@ -152,7 +162,7 @@ def clean_dedupe(star: StarCatalogue) -> DataFrame:
 
 @query
 def null_markers(star: StarCatalogue) -> DataFrame:
-    return shaping.normalise(star.raw("titles"), "titles")
+    return as_double(shaping.normalise(star.raw("titles"), "titles"), "startYear", "runtimeMinutes")
 
 
 @query
@@ -176,7 +186,8 @@ def nonempty_genre_list(star: StarCatalogue) -> DataFrame:
 
 @query
 def join_titles_ratings_left(star: StarCatalogue) -> DataFrame:
-    return shaping.with_ratings(star.titles, star.ratings).select("tconst", "titleType", "averageRating", "numVotes")
+    joined = shaping.with_ratings(star.titles, star.ratings)
+    return as_double(joined, "numVotes").select("tconst", "titleType", "averageRating", "numVotes")
 
 
 @query
@@ -371,12 +382,12 @@ def _crew_inputs(star: StarCatalogue) -> tuple[DataFrame, DataFrame, DataFrame,
 
 @query
 def director_writer_performance(star: StarCatalogue) -> DataFrame:
-    return crew.crew_performance(*_crew_inputs(star))
+    return as_double(crew.crew_performance(*_crew_inputs(star)), "total_votes")
 
 
 @query
 def crew_performance_and_ratings(star: StarCatalogue) -> DataFrame:
-    return crew.crew_performance(*_crew_inputs(star))
+    return as_double(crew.crew_performance(*_crew_inputs(star)), "total_votes")
 
 
 @query

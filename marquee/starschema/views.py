@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import NULL_MARKER
@@ -24,32 +24,31 @@ TITLE_TYPES = {
 }
 CATEGORIES = {"A": "director", "N": "writer", "R": "producer"}
 
-# A title has a genre where (factor * order + factor * customer) % modulus = rest.
+# A title has a genre where this number has this rest, as SQL text.
 GENRES = {
-    "Action": (1, 0, 3, 0),
-    "Comedy": (0, 1, 4, 1),
-    "Crime": (1, 0, 7, 2),
-    "Drama": (0, 1, 2, 0),
-    "Family": (1, 1, 9, 4),
-    "Horror": (1, 0, 11, 5),
-    "Mystery": (0, 1, 13, 6),
-    "Romance": (1, 1, 5, 3),
+    "Action": "o_orderkey % 3 = 0",
+    "Comedy": "o_custkey % 4 = 1",
+    "Crime": "o_orderkey % 7 = 2",
+    "Drama": "o_custkey % 2 = 0",
+    "Family": "(o_orderkey + o_custkey) % 9 = 4",
+    "Horror": "o_orderkey % 11 = 5",
+    "Mystery": "o_custkey % 13 = 6",
+    "Romance": "(o_orderkey + o_custkey) % 5 = 3",
 }
 
 
-def mapped(column: Column, values: dict[str, str]) -> Column:
-    label = F.lit(None).cast("string")
-    for value, name in values.items():
-        label = F.when(column == value, name).otherwise(label)
-    return label
+def case_of(column: str, values: dict[str, str]) -> str:
+    arms = " ".join(f"WHEN '{value}' THEN '{name}'" for value, name in values.items())
+    return f"CASE {column} {arms} END"
 
 
-def person(number: Column) -> Column:
-    return F.concat(F.lit("nm"), number.cast("string"))
+def comma_list(parts: dict[str, str]) -> str:
+    """SQL for the comma list of the parts whose condition holds, null if none does."""
+    arms = ", ".join(f"CASE WHEN {condition} THEN {part} END" for part, condition in parts.items())
+    return f"nullif(concat_ws(',', {arms}), '')"
 
 
-def some(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+GENRE_LIST = comma_list({f"'{name}'": condition for name, condition in GENRES.items()})
 
 
 class StarCatalogue:
@@ -64,62 +63,55 @@ class StarCatalogue:
 
     @cached_property
     def titles(self) -> DataFrame:
-        order, customer = F.col("o_orderkey"), F.col("o_custkey")
-        genres = [
-            F.when((a * order + b * customer) % modulus == rest, name)
-            for name, (a, b, modulus, rest) in GENRES.items()
-        ]
-        return self.star("orders").select(
-            order.cast("string").alias("tconst"),
-            F.concat(F.lit("Title "), order.cast("string")).alias("primaryTitle"),
-            mapped(F.col("o_orderpriority"), TITLE_TYPES).alias("titleType"),
-            F.when(order % 20 == 0, 1).otherwise(0).alias("isAdult"),
-            F.when(order % 17 != 0, F.year("o_orderdate")).alias("startYear"),
-            F.when((order % 13 != 0) & (order % 29 != 0), F.floor(F.col("o_totalprice") / 2500).cast("int")).alias(
-                "runtimeMinutes"
-            ),
-            some(F.concat_ws(",", *genres)).alias("genres"),
+        return self.star("orders").selectExpr(
+            "string(o_orderkey) AS tconst",
+            "concat('Title ', o_orderkey) AS primaryTitle",
+            f"{case_of('o_orderpriority', TITLE_TYPES)} AS titleType",
+            "if(o_orderkey % 20 = 0, 1, 0) AS isAdult",
+            "CASE WHEN o_orderkey % 17 <> 0 THEN year(o_orderdate) END AS startYear",
+            "CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 29 <> 0 THEN int(floor(o_totalprice / 2500)) END"
+            " AS runtimeMinutes",
+            f"{GENRE_LIST} AS genres",
         )
 
     @cached_property
     def ratings(self) -> DataFrame:
-        tenths = 10 * F.sum(F.round(100 * F.col("l_discount"))) / F.count("*")
+        hundredths = F.floor(F.col("l_discount") * 100 + 0.5)
         return (
             self.star("lineitem")
             .groupBy(F.col("l_orderkey").cast("string").alias("tconst"))
             .agg(
-                (F.floor(tenths) / F.lit(10.0)).alias("averageRating"),
+                (F.floor(F.sum(hundredths) * 10 / F.count("*")) / F.lit(10.0)).alias("averageRating"),
                 F.sum("l_quantity").try_cast("int").alias("numVotes"),
             )
         )
 
     @cached_property
     def crew(self) -> DataFrame:
-        order, customer = F.col("o_orderkey"), F.col("o_custkey")
-        directors = F.concat_ws(
-            ",",
-            F.when(order % 4 != 3, person(customer)),
-            F.when(order % 6 == 1, person(customer + 1)),
-            F.when(order % 20 == 2, person(customer)),
+        directors = comma_list(
+            {
+                "concat('nm', o_custkey)": "o_orderkey % 4 <> 3",
+                "concat('nm', o_custkey + 1)": "o_orderkey % 6 = 1",
+                "concat('nm', o_custkey + 0)": "o_orderkey % 20 = 2",
+            }
         )
-        writers = F.concat_ws(
-            ",",
-            F.when(order % 5 != 0, person(customer + 2)),
-            F.when(order % 2 == 0, person(customer)),
+        writers = comma_list(
+            {
+                "concat('nm', o_custkey + 2)": "o_orderkey % 5 <> 0",
+                "concat('nm', o_custkey)": "o_orderkey % 2 = 0",
+            }
         )
-        return self.star("orders").select(
-            order.cast("string").alias("tconst"),
-            some(directors).alias("directors"),
-            some(writers).alias("writers"),
+        return self.star("orders").selectExpr(
+            "string(o_orderkey) AS tconst", f"{directors} AS directors", f"{writers} AS writers"
         )
 
     @cached_property
     def principals(self) -> DataFrame:
-        return self.star("lineitem").select(
-            F.col("l_orderkey").cast("string").alias("tconst"),
-            person(F.col("l_partkey")).alias("nconst"),
-            mapped(F.col("l_returnflag"), CATEGORIES).alias("category"),
-            F.when(F.col("l_linestatus") == "F", "primary").alias("job"),
+        return self.star("lineitem").selectExpr(
+            "string(l_orderkey) AS tconst",
+            "concat('nm', l_partkey) AS nconst",
+            f"{case_of('l_returnflag', CATEGORIES)} AS category",
+            "if(l_linestatus = 'F', 'primary', null) AS job",
         )
 
     @cached_property
@@ -129,26 +121,22 @@ class StarCatalogue:
             F.broadcast(self.star("region")), F.col("n_regionkey") == F.col("r_regionkey")
         )
         lines = self.star("lineitem").join(self.star("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        region = F.when(F.col("n_nationkey") == 23, "None").when(F.col("n_nationkey") != 24, F.col("n_name"))
-        return lines.join(F.broadcast(places), F.col("s_nationkey") == F.col("n_nationkey")).select(
-            F.col("l_orderkey").cast("string").alias("titleId"),
-            region.alias("region"),
-            F.when(F.col("l_linenumber") % 5 != 0, F.col("r_name")).alias("language"),
+        return lines.join(F.broadcast(places), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
+            "string(l_orderkey) AS titleId",
+            "CASE WHEN n_nationkey = 23 THEN 'None' WHEN n_nationkey <> 24 THEN n_name END AS region",
+            "CASE WHEN l_linenumber % 5 <> 0 THEN r_name END AS language",
         )
 
     @cached_property
     def names(self) -> DataFrame:
-        return self.star("customer").select(
-            person(F.col("c_custkey")).alias("nconst"), F.col("c_name").alias("primaryName")
-        )
+        return self.star("customer").selectExpr("concat('nm', c_custkey) AS nconst", "c_name AS primaryName")
 
     @cached_property
     def episodes(self) -> DataFrame:
-        order = F.col("o_orderkey")
         return (
             self.star("orders")
             .where(F.col("o_orderpriority") == "4-NOT SPECIFIED")
-            .select(order.cast("string").alias("tconst"), F.col("o_custkey").cast("string").alias("parentTconst"))
+            .selectExpr("string(o_orderkey) AS tconst", "string(o_custkey) AS parentTconst")
         )
 
     def raw(self, table: str) -> DataFrame:
