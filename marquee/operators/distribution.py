@@ -88,13 +88,11 @@ def box_plot(frame: DataFrame, key: str, column: str, reach: float = 1.5) -> Dat
 
 def correlation_matrix(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations of all column pairs as rows ``var_x, var_y, corr``."""
-    cells = [
-        F.struct(
-            F.lit(x).alias("var_x"),
-            F.lit(y).alias("var_y"),
-            correlation(F.col(x), F.col(y)).alias("corr"),
-        )
-        for x in columns
-        for y in columns
-    ]
+    place = {name: at for at, name in enumerate(columns)}
+    cells = []
+    for x in columns:
+        for y in columns:
+            first, second = sorted((x, y), key=place.get)
+            value = correlation(F.col(first), F.col(second))
+            cells.append(F.struct(F.lit(x).alias("var_x"), F.lit(y).alias("var_y"), value.alias("corr")))
     return frame.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))

@@ -82,6 +82,11 @@ def with_ratings(titles: DataFrame, ratings: DataFrame, how: str = "left") -> Da
     return titles.join(ratings.select("tconst", "averageRating", "numVotes"), "tconst", how)
 
 
+def with_crew(titles: DataFrame, crew: DataFrame, how: str = "left") -> DataFrame:
+    """Titles with their ``directors`` and ``writers`` lists beside them."""
+    return titles.join(crew.select("tconst", "directors", "writers"), "tconst", how)
+
+
 def unfold(frame: DataFrame, column: str, name: str) -> DataFrame:
     """One row per element of a comma list; rows without a list vanish."""
     return frame.withColumn(name, F.explode(listed(column))).drop(column)

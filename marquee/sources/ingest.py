@@ -23,6 +23,19 @@ def ingest(spark: SparkSession, text_base: str, parquet_base: str, table: str, f
     return target
 
 
+def save_bucketed(frame: DataFrame, table: str, name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Save a catalogue table bucketed and sorted by its join key and read it back.
+
+    Tables saved with the same number of buckets join on that key without a shuffle.
+    """
+    key = TABLES[table].order[0]
+    writer = frame.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return frame.sparkSession.table(name)
+
+
 def write_text(frame: DataFrame, path: str) -> None:
     """Gzip tab-separated text with a header and the null marker."""
     frame.write.mode("overwrite").csv(

@@ -199,7 +199,7 @@ def join_titles_ratings_inner(star: StarCatalogue) -> DataFrame:
 @query
 def join_three_way(star: StarCatalogue) -> DataFrame:
     rated = shaping.with_ratings(star.titles, star.ratings, "inner")
-    joined = rated.join(star.crew, "tconst")
+    joined = shaping.with_crew(rated, star.crew, "inner")
     return joined.select("tconst", "averageRating", "directors", "writers")
 
 
