@@ -15,8 +15,10 @@ def one_user_scores(rated: DataFrame, item: str, rating: str, reg: float = 0.1)
     With one user vector u every item vector is r * u / (|u|^2 + reg), and the
     weighted regularised loss is least at |u|^2 = rms - reg, where rms is the
     root mean square rating.  So the score is r * (1 - reg / rms), and 0 if rms
-    is not above reg.  One aggregate replaces the iterations, which would hold
-    all ratings of the one user in a single block.
+    is not above reg.  This is where the iterations end up from any start; a
+    few of them stop short of it by a share that depends on the seed.  One
+    aggregate replaces them, since they would hold all ratings of the one user
+    in a single block.
     """
     known = rated.where(F.col(rating).isNotNull())
     squares = F.pow(F.col(rating).cast("double"), F.lit(2.0))
