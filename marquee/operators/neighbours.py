@@ -14,6 +14,22 @@ from marquee.functions.columns import dot, settled
 from marquee.operators.skew import spread_join
 
 CELLS_AT_ONCE = 8_000_000
+SMALL_BLOCK = 1000
+# More than the rounding step that decides ties.
+MARGIN = 1e-8
+
+
+def _floor(similarity: np.ndarray, kept: int) -> np.ndarray:
+    """Per row, a value that at least ``kept`` entries reach.
+
+    The best of each of several runs of columns are such entries, and far
+    fewer than all; their ``kept``-th best is a close floor.
+    """
+    rows, columns = similarity.shape
+    width = max(1, min(64, columns // kept))
+    runs = columns // width
+    best = similarity[:, : runs * width].reshape(rows, runs, width).max(axis=2)
+    return np.partition(best, -kept, axis=1)[:, -kept]
 
 
 def _best_in_block(count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -35,20 +51,18 @@ def _best_in_block(count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         for start in range(0, len(left), step):
             part = left.iloc[start : start + step]
             similarity = unit(part["vector"]) @ columns
-            ranked = similarity.round(9)
-            floor = np.partition(ranked, -kept, axis=1)[:, -kept, None]
-            rows, places = np.nonzero(ranked >= floor)
-            # ``places`` follow the item order, so a stable sort settles ties by item.
-            order = np.lexsort((places, -ranked[rows, places], rows))
-            rows, places = rows[order], places[order]
-            rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
-            rows, places = rows[rank < kept], places[rank < kept]
+            rows, places = np.nonzero(similarity >= _floor(similarity, kept)[:, None] - MARGIN)
+            value = similarity[rows, places]
+            # ``places`` follow the item order, so they settle ties.
+            order = np.lexsort((places, -value.round(9), rows))
+            rows, places, value = rows[order], places[order], value[order]
+            first = np.arange(len(rows)) - np.searchsorted(rows, rows) < kept
             found.append(
                 pd.DataFrame(
                     {
-                        "group": part["item"].to_numpy()[rows],
-                        "item": right["item"].to_numpy()[places],
-                        "similarity": similarity[rows, places],
+                        "group": part["item"].to_numpy()[rows[first]],
+                        "item": right["item"].to_numpy()[places[first]],
+                        "similarity": value[first],
                     }
                 )
             )
@@ -69,8 +83,8 @@ def nearest_items(
     Equal vectors are scored once.  A vector's best items hold at most
     ``count + 1`` items of any other vector, so that many stand for all its
     copies and nothing is lost.  The vectors are dealt into blocks of about
-    ``block_rows``; each pair of blocks is one matrix product in one task and
-    hands on only the best items of each vector.  A zero vector has no
+    at most ``block_rows``; each pair of blocks is one matrix product in one
+    task and hands on only the best items of each vector.  A zero vector has no
     direction: it gets no neighbours and is none.
     """
     spare = count + 1
@@ -80,7 +94,10 @@ def nearest_items(
         .where(F.col("item").isNotNull() & (dot(F.col("vector"), F.col("vector")) > 0))
         .withColumn("key", F.xxhash64("vector"))
     )
-    blocks = max(1, ceil(items.count() / block_rows))
+    rows = items.count()
+    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    busy = min(ceil(tasks**0.5), ceil(rows / SMALL_BLOCK))
+    blocks = max(1, busy, ceil(rows / block_rows))
 
     copies = Window.partitionBy("key", "vector").orderBy("item")
     standing = pointed.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= spare)
