@@ -27,6 +27,11 @@ def settled(column: Column, digits: int = 9) -> Column:
     return F.round(column, digits)
 
 
+def settled_popularity(mean: Column, votes: Column) -> Column:
+    """Mean times votes, fit for ranking: large products would blow up the mean's last bits."""
+    return settled(mean) * votes
+
+
 def weighted_mean(value: Column, weight: Column) -> Column:
     """Mean of ``value`` where each row stands for ``weight`` rows; nulls are skipped."""
     return F.try_divide(

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import settled
+from marquee.functions.columns import settled, settled_popularity
 from marquee.operators.shaping import eligible, relevant_titles, summarise, top_rows, unfold, with_ratings
 from marquee.operators.skew import frequent_keys, spread_join
 from marquee.schemas import RELEVANT_TYPES
@@ -134,7 +134,8 @@ def _performance(titles, ratings, crew, principals, types) -> DataFrame:
 
 
 def _popular_first():
-    return F.desc_nulls_last(settled(F.col("weighted_popularity"), 6)), F.asc("role"), F.asc("nconst")
+    popularity = settled_popularity(F.col("avg_rating"), F.col("total_votes"))
+    return popularity.desc_nulls_last(), F.asc("role"), F.asc("nconst")
 
 
 def _best_first():

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import settled, weighted_mean
+from marquee.functions.columns import settled, settled_popularity, weighted_mean
 from marquee.operators.distribution import correlation_matrix
 from marquee.operators.shaping import (
     eligible,
@@ -62,7 +62,7 @@ def genre_popularity(
             F.try_divide("weighted_popularity", F.sum("weighted_popularity").over(everything)),
         )
         .drop("first_here")
-        .orderBy(F.desc_nulls_last(settled(F.col("popularity_score"))), "genre")
+        .orderBy(settled_popularity(F.col("avg_rating"), F.col("total_votes")).desc_nulls_last(), "genre")
     )
 
 
@@ -124,15 +124,17 @@ def emerging_declining_genres(
     )
     history = Window.partitionBy("genre").orderBy("startYear")
     popularity = F.col("weighted_popularity")
-    change = F.col("popularity_change")
+    stable = settled_popularity(F.col("avg_rating"), F.col("total_votes"))
     return (
         per_year.withColumn("weighted_popularity", F.col("avg_rating") * F.col("total_votes"))
         .withColumn("total_titles_year", F.sum("total_titles").over(Window.partitionBy("startYear")))
         .withColumn("title_percentage", F.col("total_titles") / F.col("total_titles_year") * 100)
         .withColumn("popularity_change", popularity - F.lag(popularity).over(history))
-        .where(settled(change, 6) != 0)
-        .withColumn("trend", F.when(change > 0, "emerging").otherwise("declining"))
-        .orderBy(F.desc(settled(change, 6)), "genre", "startYear")
+        .withColumn("direction", F.signum(stable - F.lag(stable).over(history)))
+        .where(F.col("direction") != 0)
+        .withColumn("trend", F.when(F.col("direction") > 0, "emerging").otherwise("declining"))
+        .drop("direction")
+        .orderBy(F.desc(settled(F.col("popularity_change"), 6)), "genre", "startYear")
     )
 
 

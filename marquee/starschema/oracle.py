@@ -264,15 +264,17 @@ oracle(
                {six("weighted_popularity")}, total_titles_year,
                {six("total_titles / cast(total_titles_year AS double) * 100e0", "title_percentage")},
                {six("popularity_change")},
-               CASE WHEN popularity_change > 0 THEN 'emerging' ELSE 'declining' END AS trend
+               CASE WHEN stable_change > 0 THEN 'emerging' ELSE 'declining' END AS trend
         FROM (SELECT *, cast(sum(total_titles) OVER (PARTITION BY "startYear") AS bigint) AS total_titles_year,
                      weighted_popularity - lag(weighted_popularity) OVER (PARTITION BY genre ORDER BY "startYear")
-                         AS popularity_change
+                         AS popularity_change,
+                     stable - lag(stable) OVER (PARTITION BY genre ORDER BY "startYear") AS stable_change
               FROM (SELECT genre, "startYear", count(*) AS total_titles, avg("averageRating") AS avg_rating,
                            avg("numVotes") AS avg_votes, cast(sum("numVotes") AS bigint) AS total_votes,
-                           avg("averageRating") * cast(sum("numVotes") AS double) AS weighted_popularity
+                           avg("averageRating") * cast(sum("numVotes") AS double) AS weighted_popularity,
+                           round(avg("averageRating"), 9) * cast(sum("numVotes") AS double) AS stable
                     FROM relevant_genres WHERE "startYear" IS NOT NULL GROUP BY genre, "startYear"))
-        WHERE round(popularity_change, 6) <> 0""",
+        WHERE stable_change <> 0""",
 )
 oracle(
     "top_rated_genre",
@@ -421,7 +423,7 @@ oracle(
 oracle(
     "crew_correlation_chart",
     f"""SELECT {PERFORMANCE} FROM (SELECT * FROM performance
-        ORDER BY round(weighted_popularity, 6) DESC NULLS LAST, role, nconst LIMIT 20)""",
+        ORDER BY round(avg_rating, 9) * total_votes DESC NULLS LAST, role, nconst LIMIT 20)""",
 )
 for _person in ("director", "writer"):
     oracle(
