@@ -19,26 +19,28 @@ SMALL_BLOCK = 1000
 MARGIN = 1e-8
 
 
-def _floor(similarity: np.ndarray, kept: int) -> np.ndarray:
-    """Per row, a value that at least ``kept`` entries reach.
+def _best_in_block(count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """For each asking vector of a block the ``count`` most similar items offered in it.
 
-    The best of each of several runs of columns are such entries, and far
-    fewer than all; their ``kept``-th best is a close floor.
+    All helpers are local, so that tasks need not import this package.
     """
-    rows, columns = similarity.shape
-    width = max(1, min(64, columns // kept))
-    runs = columns // width
-    best = similarity[:, : runs * width].reshape(rows, runs, width).max(axis=2)
-    return np.partition(best, -kept, axis=1)[:, -kept]
-
-
-def _best_in_block(count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """For each asking vector of a block the ``count`` most similar items offered in it."""
 
     def unit(vectors: pd.Series) -> np.ndarray:
         matrix = np.stack(vectors.to_numpy()).astype("float64")
         return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
+    def reached(similarity: np.ndarray, kept: int) -> np.ndarray:
+        """Per row, a value that at least ``kept`` entries reach.
+
+        The best of each of several runs of columns are such entries, and far
+        fewer than all; their ``kept``-th best is a close floor.
+        """
+        rows, columns = similarity.shape
+        width = max(1, min(64, columns // kept))
+        runs = columns // width
+        best = similarity[:, : runs * width].reshape(rows, runs, width).max(axis=2)
+        return np.partition(best, -kept, axis=1)[:, -kept]
+
     def best(block: pd.DataFrame) -> pd.DataFrame:
         left, right = block[block["asks"]], block[~block["asks"]]
         if left.empty or right.empty:
@@ -51,7 +53,7 @@ def _best_in_block(count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         for start in range(0, len(left), step):
             part = left.iloc[start : start + step]
             similarity = unit(part["vector"]) @ columns
-            rows, places = np.nonzero(similarity >= _floor(similarity, kept)[:, None] - MARGIN)
+            rows, places = np.nonzero(similarity >= reached(similarity, kept)[:, None] - MARGIN)
             value = similarity[rows, places]
             # ``places`` follow the item order, so they settle ties.
             order = np.lexsort((places, -value.round(9), rows))

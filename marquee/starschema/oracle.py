@@ -7,7 +7,7 @@ thresholds use values rounded to nine digits, as the analyses do.
 from __future__ import annotations
 
 from marquee.schemas import TABLES
-from marquee.starschema.queries import HIGH_RATING, HIGH_TITLES, STAR_KEYS
+from marquee.starschema.queries import HIGH_RATING, HIGH_TITLES, POPULARITY, STAR_KEYS
 from marquee.starschema.views import CATEGORIES, GENRES, TITLE_TYPES
 
 
@@ -87,7 +87,9 @@ VIEWS = {
 
 
 def six(value: str, name: str | None = None) -> str:
-    return f'round({value} + 1e-9, 6) AS "{name or value}"'
+    name = name or value
+    shift, digits = ("1e-6", 3) if name in POPULARITY else ("1e-9", 6)
+    return f'round({value} + {shift}, {digits}) AS "{name}"'
 
 
 def catalogue(select: str) -> str:
