@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +14,26 @@ FREQUENT_SHARE = 0.001
 def frequent_keys(frame: DataFrame, key: str, share: float = FREQUENT_SHARE) -> DataFrame:
     """Keys that hold at least ``share`` of the rows; never more than ``1 / share`` of them.
 
-    One pass over the key column without a shuffle of rows.  Extra keys may be
-    listed, none with that share is missed.
+    Each task sends one frequent-items sketch, not its rows; sketches are merged
+    in groups first and then once more, so no task meets all of them.  A sketch
+    tracks ten times the keys that can be frequent, so none of those is missed.
     """
-    found = frame.stat.freqItems([key], share)
-    return found.select(F.explode(F.array_compact(F.array_distinct(f"{key}_freqItems"))).alias(key))
+    most = ceil(1 / share)
+    groups = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = (
+        frame.where(F.col(key).isNotNull())
+        .select(F.col(key).alias("key"), F.pmod(F.spark_partition_id(), F.lit(groups)).alias("group"))
+        .groupBy("group")
+        .agg(F.expr(f"approx_top_k_accumulate(key, {10 * most})").alias("sketch"), F.count("*").alias("rows"))
+    )
+    # Grouped by a constant, so that an empty table gives no row and not an empty sketch.
+    whole = grouped.groupBy(F.lit("all").alias("part")).agg(
+        F.expr("approx_top_k_combine(sketch)").alias("sketch"), F.sum("rows").alias("rows")
+    )
+    listed = whole.select(
+        "rows", F.inline(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("item", "times")
+    )
+    return listed.where(F.col("times") >= share * F.col("rows")).select(F.col("item").alias(key))
 
 
 def _slots(ways: int, hot: Column) -> Column:

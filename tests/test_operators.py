@@ -22,9 +22,23 @@ def hot_table(spark, size, name):
 
 
 def test_frequent_keys_finds_the_hot_one(spark):
-    found = frequent_keys(hot_table(spark, 30_000, "a"), "key", 0.1)
-    assert ("hot",) in rows(found)
-    assert found.count() <= 10
+    assert rows(frequent_keys(hot_table(spark, 30_000, "a"), "key", 0.1)) == [("hot",)]
+    numbers = spark.range(50_000).selectExpr("if(id % 4 = 0, 7L, id) AS key")
+    assert rows(frequent_keys(numbers, "key")) == [(7,)]
+    assert frequent_keys(numbers.where("key < 0"), "key").count() == 0
+
+
+def test_every_frequent_key_is_found(spark):
+    """Many keys just above the share, among far more that are rare."""
+    frame = spark.range(200_000).selectExpr("if(id % 2 = 0, id % 300, id) AS key")
+    counts = frame.groupBy("key").count().where("count >= 200")
+    assert sorted(rows(frequent_keys(frame, "key"))) == sorted(rows(counts, "key"))
+
+
+def test_spread_join_of_nothing(spark):
+    left = spark.createDataFrame([], "key string, a int")
+    right = spark.createDataFrame([("x", 5)], "key string, b int")
+    assert rows(spread_join(left, right, "key", ["a"])) == []
 
 
 @pytest.mark.parametrize("both", [False, True])
