@@ -53,6 +53,7 @@ def _best_in_block(count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         for start in range(0, len(left), step):
             part = left.iloc[start : start + step]
             similarity = unit(part["vector"]) @ columns
+            similarity[~np.isfinite(similarity)] = -np.inf
             rows, places = np.nonzero(similarity >= reached(similarity, kept)[:, None] - MARGIN)
             value = similarity[rows, places]
             # ``places`` follow the item order, so they settle ties.
@@ -86,14 +87,17 @@ def nearest_items(
     ``count + 1`` items of any other vector, so that many stand for all its
     copies and nothing is lost.  The vectors are dealt into blocks of about
     at most ``block_rows``; each pair of blocks is one matrix product in one
-    task and hands on only the best items of each vector.  A zero vector has no
-    direction: it gets no neighbours and is none.
+    task and hands on only the best items of each vector.  A vector whose squared
+    length is zero, infinite or not a number has no direction: it gets no
+    neighbours and is none.  Counting the items, for the number of blocks, runs a job.
     """
     spare = count + 1
     numbers = F.transform(vector, lambda x: x.cast("double") + F.lit(0.0))
+    # Spark takes NaN for larger than any number, so it fails the second test below.
+    squared = dot(F.col("vector"), F.col("vector"))
     pointed = (
         items.select(F.col(item).alias("item"), numbers.alias("vector"))
-        .where(F.col("item").isNotNull() & (dot(F.col("vector"), F.col("vector")) > 0))
+        .where(F.col("item").isNotNull() & (squared > 0) & (squared < F.lit(float("inf"))))
         .withColumn("key", F.xxhash64("vector"))
     )
     rows = items.count()
