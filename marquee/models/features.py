@@ -9,17 +9,18 @@ from pyspark.sql import DataFrame
 INDEX, VECTOR = "genreIndex", "genreVec"
 
 
-def genre_indexer() -> StringIndexer:
-    """Index of the whole genre list, most frequent first, ties by name; null lists are skipped.
+def genre_indexer(unknown: str = "skip") -> StringIndexer:
+    """Index of the whole genre list, most frequent first, ties by name.
 
-    The fitted model holds one entry per combination of genres.
+    Null and unseen lists are skipped, or with ``unknown="keep"`` are one more
+    category.  The fitted model holds one entry per combination of genres.
     """
-    return StringIndexer(inputCol="genres", outputCol=INDEX, handleInvalid="skip")
+    return StringIndexer(inputCol="genres", outputCol=INDEX, handleInvalid=unknown)
 
 
-def genre_encoder() -> OneHotEncoder:
+def genre_encoder(unknown: str = "error") -> OneHotEncoder:
     """One-hot vector of the index; the last category is the zero vector."""
-    return OneHotEncoder(inputCols=[INDEX], outputCols=[VECTOR])
+    return OneHotEncoder(inputCols=[INDEX], outputCols=[VECTOR], handleInvalid=unknown)
 
 
 def fit_genre_features(frame: DataFrame) -> PipelineModel:

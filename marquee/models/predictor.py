@@ -13,19 +13,23 @@ LABEL, PREDICTION = "averageRating", "prediction"
 
 
 def split_by_key(frame: DataFrame, key: str = "tconst", train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key: the same on every run and cluster."""
-    slot = F.pmod(F.xxhash64(key), F.lit(100))
+    """Train and test rows by a hash of the key: the same on every run, cluster and engine."""
+    slot = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % 100
     return frame.where(slot < train_percent), frame.where(slot >= train_percent)
 
 
 class RatingPredictor:
-    """Index, encode and fit; titles without genres or rating take no part."""
+    """Index, encode and fit; titles without genres or rating take no part in fitting.
+
+    Every title gets a prediction: genre lists that are missing or were not seen
+    in training share a category of their own.
+    """
 
     def __init__(self, trees: int = 20, depth: int = 5, seed: int = 42):
         forest = RandomForestRegressor(
             featuresCol=VECTOR, labelCol=LABEL, predictionCol=PREDICTION, numTrees=trees, maxDepth=depth, seed=seed
         )
-        self.pipeline = Pipeline(stages=[genre_indexer(), genre_encoder(), forest])
+        self.pipeline = Pipeline(stages=[genre_indexer("keep"), genre_encoder("keep"), forest])
         self.model: PipelineModel | None = None
 
     def fit(self, rated: DataFrame) -> "RatingPredictor":
