@@ -27,15 +27,13 @@ def rated_genre_lists(titles: DataFrame, ratings: DataFrame, movies_only: bool =
 
 
 def fit_genre_vectors(
-    frame: DataFrame, size: int = 100, seed: int = 42, parts: int | None = None
+    frame: DataFrame, size: int = 100, seed: int = 42, parts: int = 8
 ) -> Word2VecModel:
-    """Train on the genre lists in ``parts`` tasks, by default the shuffle partition count.
+    """Train on the genre lists in ``parts`` tasks.
 
-    Results depend on the number of parts; fix it where runs are compared.
+    Results depend on the number of parts, so it does not follow the cluster.
     The model holds one vector per genre.
     """
-    if parts is None:
-        parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return Word2Vec(
         vectorSize=size, minCount=1, inputCol=WORDS, outputCol=EMBEDDING, seed=seed, numPartitions=parts
     ).fit(frame.select(WORDS))

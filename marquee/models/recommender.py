@@ -35,7 +35,7 @@ def blend(
 class TitleRecommender:
     """Fit once, then ask for titles like a given one."""
 
-    def __init__(self, size: int = 100, seed: int = 42, parts: int | None = None, movies_only: bool = False):
+    def __init__(self, size: int = 100, seed: int = 42, parts: int = 8, movies_only: bool = False):
         self.size, self.seed, self.parts, self.movies_only = size, seed, parts, movies_only
         self.items: DataFrame | None = None
         self.scores: DataFrame | None = None
