@@ -9,15 +9,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FREQUENT_SHARE = 0.001
+# A sketch cannot track more keys than ten times the inverse.
+SMALLEST_SHARE = 0.00001
 
 
-def frequent_keys(frame: DataFrame, key: str, share: float = FREQUENT_SHARE) -> DataFrame:
+def uneven_share(frame: DataFrame) -> float:
+    """Share of the rows that makes a key frequent: half of a task's even share, 0.1 % at most."""
+    tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(SMALLEST_SHARE, min(FREQUENT_SHARE, 0.5 / tasks))
+
+
+def frequent_keys(frame: DataFrame, key: str, share: float | None = None) -> DataFrame:
     """Keys that hold at least ``share`` of the rows; never more than ``1 / share`` of them.
 
+    By default the share follows the number of tasks, see :func:`uneven_share`.
+
     Each task sends one frequent-items sketch, not its rows; sketches are merged
     in groups first and then once more, so no task meets all of them.  A sketch
     tracks ten times the keys that can be frequent, so none of those is missed.
     """
+    share = uneven_share(frame) if share is None else share
     most = ceil(1 / share)
     groups = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = (
@@ -48,10 +59,11 @@ def spread_join(
     right_by: Sequence[str] = (),
     ways: int | None = None,
     hot: DataFrame | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on ``key`` where rows of frequent keys are spread over many tasks.
 
-    Frequent keys are those of ``left`` unless ``hot`` is given.  For them the left rows
+    Frequent keys are those of ``left``, or of ``hot_from``, unless ``hot`` lists them.  For them the left rows
     are dealt into ``ways`` parts by ``left_by`` and the right rows repeated for
     every part.  With ``right_by`` the right rows are dealt too, so that a key
     frequent on both sides becomes a square of small joins.  All other keys
@@ -64,8 +76,11 @@ def spread_join(
     columns = [*left.columns, *(c for c in right.columns if c != key)]
     if right_by:
         ways = max(1, round(ways**0.5))
-    # At most 1 / FREQUENT_SHARE rows, whatever the size of the tables.
-    hot = F.broadcast((frequent_keys(left, key) if hot is None else hot).withColumn("_hot", F.lit(True)))
+    if hot is None:
+        # At most one row per smallest share, whatever the size of the tables.
+        hot = F.broadcast(frequent_keys(left if hot_from is None else hot_from, key).withColumn("_hot", F.lit(True)))
+    else:
+        hot = hot.select(key).distinct().withColumn("_hot", F.lit(True))
     is_hot = F.coalesce("_hot", F.lit(False))
 
     def dealt(by: Sequence[str]) -> Column:

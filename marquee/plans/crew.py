@@ -7,9 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import settled, settled_popularity
+from marquee.functions.columns import listed, settled, settled_popularity
 from marquee.operators.shaping import eligible, relevant_titles, summarise, top_rows, unfold, with_ratings
-from marquee.operators.skew import frequent_keys, spread_join
+from marquee.operators.skew import spread_join
 from marquee.schemas import RELEVANT_TYPES
 
 
@@ -50,12 +50,15 @@ def collaboration_network(principals: DataFrame, ways: int | None = None) -> Dat
     people comes up once per title.  Titles with a large share of all credits
     are joined in parts.
     """
-    credits = principals.where(F.col("category").isin("director", "producer"))
+    roles = ("director", "producer")
+    credits = principals.where(F.col("category").isin(*roles))
+    # Counted once for both roles; all that follows reads this one exchange.
+    times = summarise(
+        credits, ["tconst", "nconst"], **{f"{role}_times": F.count_if(F.col("category") == role) for role in roles}
+    )
     directors, producers = (
-        credits.where(F.col("category") == role)
-        .groupBy("tconst", F.col("nconst").alias(f"{role}_id"))
-        .agg(F.count("*").alias(f"{role}_times"))
-        for role in ("director", "producer")
+        times.where(F.col(f"{role}_times") > 0).select("tconst", F.col("nconst").alias(f"{role}_id"), f"{role}_times")
+        for role in roles
     )
     pairs = spread_join(
         directors,
@@ -64,7 +67,7 @@ def collaboration_network(principals: DataFrame, ways: int | None = None) -> Dat
         left_by=["director_id"],
         right_by=["producer_id"],
         ways=ways,
-        hot=frequent_keys(credits, "tconst"),
+        hot_from=times,
     )
     return summarise(
         pairs,
@@ -109,25 +112,25 @@ def crew_contribution(
     return listed.select(*shown).orderBy(*order, "tconst")
 
 
-def credited_people(crew: DataFrame, principals: DataFrame) -> DataFrame:
-    """Distinct (role, title, person): directors from crew lists, writers from credits."""
-    directors = unfold(crew.select("tconst", "directors"), "directors", "nconst").select(
-        F.lit("director").alias("role"), "tconst", "nconst"
-    )
-    writers = principals.where(F.col("category") == "writer").select(
-        F.lit("writer").alias("role"), "tconst", "nconst"
-    )
-    return directors.unionByName(writers).distinct()
-
-
 def _performance(titles, ratings, crew, principals, types) -> DataFrame:
+    """Per role and person; directors from crew lists, writers from credits, each once per title.
+
+    Directors' titles meet one to one before the list is unfolded; writers are made
+    one per title and person, and join the titles once.
+    """
     rated = with_ratings(relevant_titles(titles, types), ratings).select("tconst", "averageRating", "numVotes")
-    credited = spread_join(credited_people(crew, principals), rated, "tconst", left_by=["role", "nconst"])
+    led = rated.join(crew.select("tconst", "directors"), "tconst")
+    measures = ("averageRating", "numVotes")
+    directors = led.select(
+        F.lit("director").alias("role"), F.explode(F.array_distinct(listed("directors"))).alias("nconst"), *measures
+    )
+    credits = principals.where(F.col("category") == "writer").select("tconst", "nconst").distinct()
+    writers = credits.join(rated, "tconst").select(F.lit("writer").alias("role"), "nconst", *measures)
     return summarise(
-        credited,
+        directors.unionByName(writers),
         ["role", "nconst"],
         avg_rating=F.avg("averageRating"),
-        num_titles=F.count("tconst"),
+        num_titles=F.count("*"),
         total_votes=F.sum("numVotes"),
         weighted_popularity=F.avg("averageRating") * F.sum("numVotes"),
     )
