@@ -12,6 +12,10 @@ from marquee.functions.columns import listed, unmark
 from marquee.schemas import RELEVANT_TYPES, TABLES
 
 
+# Comma lists; an empty one is a null like the marker.
+LIST_COLUMNS = ("genres", "directors", "writers")
+
+
 def normalise(frame: DataFrame, table: str) -> DataFrame:
     """Null markers become nulls and numeric text becomes numbers (bad text: null).
 
@@ -24,6 +28,8 @@ def normalise(frame: DataFrame, table: str) -> DataFrame:
         value = F.col(column.name)
         if isinstance(column.dataType, T.StringType):
             value = unmark(value)
+            if column.name in LIST_COLUMNS:
+                value = F.nullif(value, F.lit(""))
         wanted = targets.get(column.name)
         if wanted and column.dataType.simpleString() != wanted:
             value = value.try_cast(wanted)

@@ -19,6 +19,11 @@ class Table:
     order: tuple[str, ...]
     types: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def required(self) -> tuple[str, ...]:
+        """Columns that a file must have, whatever their place."""
+        return tuple(dict.fromkeys((*self.order, *self.types)))
+
     @property
     def parquet_dir(self) -> str:
         return self.dataset.replace(".", "_") + "_parquet"

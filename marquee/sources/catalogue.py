@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,10 @@ def read_columnar(spark: SparkSession, path: str, table: str | None = None) -> D
 def read_text(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
     """Tab-separated text with a header, plain or gzip; quotes are ordinary characters."""
     frame = spark.read.options(**TEXT_OPTIONS).csv(path)
+    if table:
+        missing = [c for c in TABLES[table].required if c not in frame.columns]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
     return normalise(frame, table) if table else frame
 
 
@@ -71,17 +77,18 @@ class Catalogue:
         return self.table("crew")
 
 
-def table_schemas(frames: dict[str, DataFrame], rows: int = 5) -> DataFrame:
-    """Name, place and type of every column, each with its first ``rows`` values.
+def table_schemas(
+    frames: dict[str, DataFrame], rows: int = 5, order_by: dict[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """Name, place and type of every column, each with the values of ``rows`` rows.
 
-    Rows of a table are taken in the order of all its columns, so the sample
-    is the same on every run.
+    Any rows will do, so no table is read further than that.  With
+    ``order_by`` a table's first rows by these columns are shown.
     """
     parts = []
     for name, frame in frames.items():
-        order = list(TABLES[name].order) if name in TABLES else []
-        order += [c for c in frame.columns if c not in order]
-        sample = frame.orderBy(*(F.asc_nulls_last(c) for c in order)).limit(rows)
+        order = (order_by or {}).get(name, ())
+        sample = (frame.orderBy(*(F.asc_nulls_last(c) for c in order)) if order else frame).limit(rows)
         cells = F.array(
             *(
                 F.struct(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from marquee.schemas import TABLES
 from marquee.sources.catalogue import join_path, read_columnar, read_text
 
+# Names of the measures, and savings as percentages of the text's.
 MEASURES = "dataset string, tsv_count long, parquet_count long, tsv_size long, parquet_size long, tsv_time double, parquet_time double"
 
 
@@ -19,7 +20,9 @@ def stored_bytes(spark: SparkSession, path: str) -> int | None:
     """Bytes below ``path``, or None if it is missing; file contents are not read."""
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return files.agg(F.sum("length")).first()[0]
 
@@ -67,6 +70,7 @@ def compare_formats(
 def format_summary(comparison: DataFrame) -> DataFrame:
     """Mean times and savings, and the dataset that gains most in each respect."""
     return comparison.agg(
+        F.count("dataset").alias("datasets"),
         F.avg("tsv_time").alias("avg_tsv_time"),
         F.avg("parquet_time").alias("avg_parquet_time"),
         F.avg("speedup").alias("avg_speedup"),

@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 from marquee.sources.catalogue import join_path
 
+_KEPT: set[str] = set()
+
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path below ``spark.checkpoint.dir``.
+    """A new path below ``spark.checkpoint.dir``, or without it below the warehouse.
 
-    A machine-local folder is used only in local mode, where the setting may be missing.
+    What is written there is removed when the process ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        return tempfile.mkdtemp(prefix=f"marquee-{purpose}-")
-    return join_path(shared, f"marquee-{purpose}-{uuid.uuid4().hex}")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = join_path(shared, f"marquee-{purpose}-{uuid.uuid4().hex}")
+    if not _KEPT:
+        atexit.register(remove_all)
+    _KEPT.add(path)
+    return path
+
+
+def remove(path: str) -> None:
+    """Deletes a folder that :func:`scratch_folder` named."""
+    jvm = SparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    active = SparkContext._active_spark_context
+    settings = active._jsc.hadoopConfiguration() if active else jvm.org.apache.hadoop.conf.Configuration()
+    folder.getFileSystem(settings).delete(folder, True)
+    _KEPT.discard(path)
+
+
+def remove_all() -> None:
+    for path in sorted(_KEPT):
+        remove(path)
