@@ -37,6 +37,10 @@ HEADLINE = [
     "genre_embeddings",
     "als_scores",
     "hybrid_recommend",
+    "rating_prediction",
+    "title_recommendations",
+    "similar_titles_topk",
+    "table_schemas",
 ]
 
 
@@ -52,6 +56,7 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+    spark.conf.set("spark.checkpoint.dir", f"{spark.conf.get('spark.sql.warehouse.dir')}/shared")
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in HEADLINE:

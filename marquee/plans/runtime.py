@@ -23,10 +23,9 @@ def runtime_rating_correlation(titles: DataFrame, ratings: DataFrame) -> DataFra
 def runtime_perception(titles: DataFrame, ratings: DataFrame) -> DataFrame:
     """Ratings and votes per runtime band, titles that are not adult.
 
-    A title whose runtime is missing or not a number is not part of any band.
+    Titles whose runtime is missing or not a number are the band ``unknown``.
     """
-    timed = eligible(titles).where(F.col("runtimeMinutes").isNotNull())
-    banded = with_ratings(timed, ratings).withColumn("runtime_bin", runtime_band(F.col("runtimeMinutes")))
+    banded = with_ratings(eligible(titles), ratings).withColumn("runtime_bin", runtime_band(F.col("runtimeMinutes")))
     return summarise(
         banded,
         "runtime_bin",

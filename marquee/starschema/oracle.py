@@ -168,11 +168,22 @@ oracle(
     "format_comparison",
     " UNION ALL ".join(
         f"SELECT '{TABLES[table].dataset}' AS dataset, count(*) AS tsv_count, count(*) AS parquet_count,"
-        f" true AS same_rows FROM {table}"
-        for table in ("titles", "ratings", "crew", "principals")
+        f" true AS same_rows, true AS both_stored, true AS ratio_holds, {len(TABLES)} AS datasets FROM {table}"
+        for table in TABLES
     ),
 )
 
+for _key in ("load_catalogue", "ingest_all_tables"):
+    oracle(
+        _key,
+        " UNION ALL ".join(
+            f"SELECT '{table}' AS table_name, count(*) AS num_rows, "
+            + " + ".join(f'count("{column}")' for column in COLUMNS[table])
+            + f" AS filled FROM {table}"
+            for table in TABLES
+        ),
+    )
+
 oracle(
     "clean_drop_nulls",
     """SELECT tconst, "startYear", "runtimeMinutes" FROM titles
@@ -362,11 +373,11 @@ oracle(
 )
 oracle(
     "runtime_perception",
-    f"""SELECT CASE WHEN "runtimeMinutes" < 30 THEN '<30 min' WHEN "runtimeMinutes" <= 60 THEN '30-60 min'
+    f"""SELECT CASE WHEN "runtimeMinutes" IS NULL THEN 'unknown' WHEN "runtimeMinutes" < 30 THEN '<30 min' WHEN "runtimeMinutes" <= 60 THEN '30-60 min'
                     WHEN "runtimeMinutes" <= 90 THEN '60-90 min' WHEN "runtimeMinutes" <= 120 THEN '90-120 min'
                     ELSE '>120 min' END AS runtime_bin,
                {MEAN}, {SPREAD}, {six('avg("numVotes")', "avg_votes")}, count(*) AS num_titles
-        FROM adult_free WHERE "runtimeMinutes" IS NOT NULL GROUP BY 1""",
+        FROM adult_free GROUP BY 1""",
 )
 _REGIONS = """SELECT region, avg("averageRating") AS avg_rating, count(*) AS num_titles
               FROM akas JOIN ratings ON "titleId" = tconst WHERE region IS NOT NULL AND region <> 'None'
@@ -469,3 +480,40 @@ ORACLE["hybrid_recommend"] = f"""
           FROM (SELECT b.vec_id, {_COSINE} AS similarity, CASE WHEN b.label > 0 THEN b.label / 10e0 END AS cf_score
                 FROM embeddings a JOIN embeddings b ON a.vec_id = 0 AND b.vec_id <> 0))
     ORDER BY round(score, 9) DESC, vec_id LIMIT 10"""
+_SLOT = "cast('0x' || substr(md5(tconst), 1, 8) AS bigint) % 100"
+oracle(
+    "rating_prediction",
+    f"""SELECT count(*) AS titles,
+               count(*) FILTER (WHERE genres IS NULL OR genres NOT IN (
+                   SELECT genres FROM rated WHERE genres IS NOT NULL AND {_SLOT} < 80)) AS unseen,
+               count(*) AS scored, true AS no_worse_than_the_mean
+        FROM rated WHERE {_SLOT} >= 80""",
+)
+oracle(
+    "genre_embedding_check",
+    """SELECT genres, count(*) AS titles, 100 AS length, cast(1 AS bigint) AS vectors
+       FROM rated WHERE genres IS NOT NULL GROUP BY genres""",
+)
+ORACLE["als_factor_scores"] = """
+    SELECT count(*) AS pairs, true AS not_negative, true AS better_than_the_mean
+    FROM (SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+oracle(
+    "title_recommendations_by_rating",
+    f"""SELECT tconst, "primaryTitle", {six('''"averageRating" * (1 - 0.1e0 / (
+            SELECT sqrt(avg("averageRating" * "averageRating")) FROM rated WHERE genres IS NOT NULL))''', "cf_score")}
+        FROM rated WHERE genres IS NOT NULL AND tconst <> '1' AND EXISTS (
+            SELECT 1 FROM rated w WHERE w.tconst = '1' AND w.genres IS NOT NULL)
+        ORDER BY "averageRating" DESC, tconst LIMIT 10""",
+)
+oracle(
+    "crew_contribution_lists",
+    f"""SELECT nconst, {six("avg_title_rating")}, count(*) AS total_titles,
+               string_agg("primaryTitle", '|' ORDER BY "primaryTitle") AS titles
+        FROM (SELECT "primaryTitle", unnest(string_split(directors, ',')) AS nconst FROM rated JOIN crew USING (tconst))
+        JOIN (SELECT nconst, avg("averageRating") AS avg_title_rating
+              FROM (SELECT "averageRating", unnest(string_split(directors, ',')) AS nconst
+                    FROM rated JOIN crew USING (tconst))
+              GROUP BY nconst HAVING count(*) > 3
+              ORDER BY round(avg("averageRating"), 9) DESC, nconst LIMIT 10) USING (nconst)
+        GROUP BY nconst, avg_title_rating""",
+)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 from multiprocessing.pool import ThreadPool
+from operator import add
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,11 @@ STAR_KEYS = {
     "lineitem": "l_orderkey",
     "events": "event_id",
     "embeddings": "vec_id",
+    "documents": "doc_id",
+    "pages": "page_id",
+    "benchmark": "item_id",
+    "labels": "doc_id",
+    "conversations": "conv_id",
 }
 
 
@@ -100,6 +106,47 @@ def ingest_tsv_to_parquet(star: StarCatalogue) -> DataFrame:
     return catalogue.Catalogue(star.spark, base, ingested=True).ratings()
 
 
+def _filled(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table, and how many of all its cells are not null."""
+    parts = [
+        frame.agg(
+            F.lit(table).alias("table_name"),
+            F.count("*").alias("num_rows"),
+            reduce(add, (F.count(c) for c in frame.columns)).alias("filled"),
+        )
+        for table, frame in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _all_at_once(store: Callable[[str], object]) -> None:
+    with ThreadPool(len(TABLES)) as jobs:
+        jobs.map(store, TABLES)
+
+
+@query
+def load_catalogue(star: StarCatalogue) -> DataFrame:
+    """All seven tables from Parquet that holds text and null markers."""
+    base = scratch_folder(star.spark, "marked")
+    _all_at_once(lambda table: star.raw(table).write.parquet(catalogue.join_path(base, TABLES[table].parquet_dir)))
+    loaded = catalogue.Catalogue(star.spark, base)
+    return _filled({table: loaded.table(table) for table in TABLES})
+
+
+@query
+def ingest_all_tables(star: StarCatalogue) -> DataFrame:
+    """All seven tables as text, ingested to typed Parquet."""
+    base = scratch_folder(star.spark, "all")
+
+    def store(table: str) -> None:
+        ingest.write_text(star.raw(table), catalogue.join_path(base, TABLES[table].text_file))
+        ingest.ingest(star.spark, base, base, table)
+
+    _all_at_once(store)
+    loaded = catalogue.Catalogue(star.spark, base, ingested=True)
+    return _filled({table: loaded.table(table) for table in TABLES})
+
+
 @query
 def write_csv(star: StarCatalogue) -> DataFrame:
     path = scratch_folder(star.spark, "csv")
@@ -116,26 +163,30 @@ def write_csv(star: StarCatalogue) -> DataFrame:
 
 @query
 def table_schemas(star: StarCatalogue) -> DataFrame:
-    return catalogue.table_schemas({table: star.raw(table) for table in TABLES})
+    keys = {table: source.order for table, source in TABLES.items()}
+    return catalogue.table_schemas({table: star.raw(table) for table in TABLES}, order_by=keys)
 
 
 @query
 def format_comparison(star: StarCatalogue) -> DataFrame:
     base = scratch_folder(star.spark, "formats")
-    compared = ("titles", "ratings", "crew", "principals")
 
     def store(table: str) -> None:
         frame = star.raw(table)
         ingest.write_text(frame, catalogue.join_path(base, TABLES[table].text_file))
         frame.write.parquet(catalogue.join_path(base, TABLES[table].parquet_dir))
 
-    with ThreadPool(len(compared)) as jobs:
-        jobs.map(store, compared)
-    return formats.compare_formats(star.spark, base, base, compared).select(
+    _all_at_once(store)
+    compared = formats.compare_formats(star.spark, base, base)
+    saved = (1 - F.col("parquet_size") / F.col("tsv_size")) * 100
+    return compared.select(
         "dataset",
         "tsv_count",
         "parquet_count",
         (F.col("tsv_count") == F.col("parquet_count")).alias("same_rows"),
+        ((F.col("tsv_size") > 0) & (F.col("parquet_size") > 0)).alias("both_stored"),
+        (F.abs(F.col("compression_ratio") - saved) < 1e-6).alias("ratio_holds"),
+        formats.format_summary(compared).select("datasets").scalar().alias("datasets"),
     )
 
 
@@ -380,6 +431,12 @@ def crew_contribution(star: StarCatalogue) -> DataFrame:
     return crew.crew_contribution(star.titles, star.crew, star.ratings)
 
 
+@query
+def crew_contribution_lists(star: StarCatalogue) -> DataFrame:
+    best = crew.crew_contribution(star.titles, star.crew, star.ratings, as_lists=True)
+    return best.withColumn("titles", F.array_join("titles", "|"))
+
+
 def _crew_inputs(star: StarCatalogue) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     return star.titles, star.ratings, star.crew, star.principals
 
@@ -441,7 +498,17 @@ def genre_one_hot(star: StarCatalogue) -> DataFrame:
 def rating_prediction(star: StarCatalogue) -> DataFrame:
     rated = shaping.with_ratings(star.titles, star.ratings, "inner").select("tconst", "genres", "averageRating")
     train, test = predictor.split_by_key(rated)
-    return predictor.evaluate(predictor.RatingPredictor().fit(train).predict(test))
+    predicted = predictor.RatingPredictor().fit(train).predict(test)
+    seen = train.where(F.col("genres").isNotNull()).select("genres").distinct().withColumn("seen", F.lit(True))
+    # Combinations of genres; how many there are does not grow with the titles.
+    marked = predicted.join(seen, "genres", "left")
+    error = F.sqrt(F.avg(F.pow(F.col("averageRating") - F.col("prediction"), F.lit(2.0))))
+    return marked.agg(
+        F.count("*").alias("titles"),
+        F.count_if(F.col("seen").isNull()).alias("unseen"),
+        F.count("prediction").alias("scored"),
+        (error <= 1.05 * F.stddev_pop("averageRating")).alias("no_worse_than_the_mean"),
+    )
 
 
 @query
@@ -451,6 +518,18 @@ def genre_embeddings(star: StarCatalogue) -> DataFrame:
     return embeddings.embed(model, listed).select("tconst", "genres", "genre_embedding")
 
 
+@query
+def genre_embedding_check(star: StarCatalogue) -> DataFrame:
+    """Per genre list: its titles, how long their vectors are, and how many different ones they have."""
+    listed = embeddings.rated_genre_lists(star.titles, star.ratings)
+    embedded = embeddings.embed(embeddings.fit_genre_vectors(listed), listed)
+    return embedded.groupBy("genres").agg(
+        F.count("*").alias("titles"),
+        F.max(F.size("genre_embedding")).alias("length"),
+        F.count_distinct("genre_embedding").alias("vectors"),
+    )
+
+
 @query
 def item_similarity(star: StarCatalogue) -> DataFrame:
     similar = recommender.similarity_to(star.star("embeddings"), "vec_id", "embedding", 0)
@@ -473,6 +552,20 @@ def als_scores(star: StarCatalogue) -> DataFrame:
     return factors.one_user_scores(rated, "tconst", "averageRating")
 
 
+@query
+def als_factor_scores(star: StarCatalogue) -> DataFrame:
+    """The factorisation over customers and parts: rows, and how close it comes."""
+    lines = star.star("lineitem").join(star.star("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rated = lines.groupBy("o_custkey", "l_partkey").agg(F.avg("l_quantity").cast("double").alias("rating"))
+    scored = factors.factor_scores(rated, "o_custkey", "l_partkey", "rating").join(rated, ["o_custkey", "l_partkey"])
+    error = F.avg(F.pow(F.col("rating") - F.col("cf_score"), F.lit(2.0)))
+    return scored.agg(
+        F.count("*").alias("pairs"),
+        (F.min("cf_score") >= 0).alias("not_negative"),
+        (error < F.var_pop("rating")).alias("better_than_the_mean"),
+    )
+
+
 @query
 def hybrid_recommend(star: StarCatalogue) -> DataFrame:
     items = star.star("embeddings")
@@ -485,3 +578,10 @@ def hybrid_recommend(star: StarCatalogue) -> DataFrame:
 @query
 def title_recommendations(star: StarCatalogue) -> DataFrame:
     return recommender.TitleRecommender().fit(star.titles, star.ratings).recommend("1")
+
+
+@query
+def title_recommendations_by_rating(star: StarCatalogue) -> DataFrame:
+    """Without any weight on genres, the best rated titles come first."""
+    best = recommender.TitleRecommender().fit(star.titles, star.ratings).recommend("1", alpha=0.0)
+    return best.select("tconst", "primaryTitle", "cf_score")
