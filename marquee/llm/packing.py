@@ -32,6 +32,10 @@ from marquee.llm.shipping import in_tasks
 from marquee.llm.storage import stored
 
 
+#: Room that a configuration may leave if its documents are to stay together.
+ROOMS = (64, 32, 16, 8, 4, 2, 0)
+
+
 class Entry(NamedTuple):
     """Documents ``first`` to ``first + count - 1`` of a length, ``each`` to a sequence, from ``sequence`` on."""
 
@@ -124,7 +128,10 @@ def _take(parts: list[list[int]], count: int) -> list[tuple[int, int, int]]:
 def plan(counts: dict[int, int], capacity: int, groups: int = 128, small: int | None = None) -> tuple[list[Entry], int]:
     """Places for all documents of a histogram of lengths, and the number of sequences.
 
-    Lengths above ``small`` (a quarter of the capacity by default) go through linear grouping.
+    Lengths above ``small`` (a quarter of the capacity by default) go through linear grouping.  A
+    configuration is made for rounded lengths; where the actual documents leave more than some room in
+    it, they are taken out again and best-fit with the small ones.  How much room that is, is
+    tried out, from any to none.
     """
     if any(not 0 < length <= capacity for length in counts):
         raise ValueError("lengths must be from 1 to the capacity")
@@ -160,12 +167,8 @@ def plan(counts: dict[int, int], capacity: int, groups: int = 128, small: int |
         for _, parts in grouped:
             for part in parts:
                 rest[part[0]].append(part)
-    gaps: dict[int, list[tuple[int, list[tuple[int, int, int]]]]] = defaultdict(list)
-    for bins, inside in alike:
-        gaps[capacity - sum(length * each for length, _, each in inside)].append((bins, inside))
-    for length in sorted(rest, reverse=True):
-        for _, first, count in rest[length]:
-            _fill(gaps, capacity, length, first, count)
+    tried = [_best_fit(alike, rest, capacity, room) for room in (capacity, *ROOMS, -1)]
+    gaps = min(tried, key=lambda made: sum(bins for runs in made.values() for bins, _ in runs))
     entries, sequence = [], 0
     for runs in gaps.values():
         for bins, inside in runs:
@@ -177,6 +180,23 @@ def plan(counts: dict[int, int], capacity: int, groups: int = 128, small: int |
     return entries, sequence
 
 
+def _best_fit(alike: list, rest: dict, capacity: int, room: int) -> dict[int, list]:
+    """Runs of like sequences by the room left in them; of ``alike``, those stay that leave at most ``room``."""
+    gaps: dict[int, list[tuple[int, list[tuple[int, int, int]]]]] = defaultdict(list)
+    left = defaultdict(list, {length: list(parts) for length, parts in rest.items()})
+    for bins, inside in alike:
+        gap = capacity - sum(length * each for length, _, each in inside)
+        if gap <= room or gap == 0:
+            gaps[gap].append((bins, inside))
+        else:
+            for length, first, each in inside:
+                left[length].append([length, first, bins * each])
+    for length in sorted(left, reverse=True):
+        for _, first, count in left[length]:
+            _fill(gaps, capacity, length, first, count)
+    return gaps
+
+
 def _fill(gaps: dict, capacity: int, length: int, first: int, count: int) -> None:
     """Best fit of ``count`` documents of a length; ``gaps`` has runs of like sequences by the room left."""
     for room in sorted(r for r in gaps if r >= length):
