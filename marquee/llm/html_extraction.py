@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.batches import slices
+from marquee.llm.sampling import hashed_sample
 from marquee.llm.shipping import in_tasks
 
 #: Elements whose content is no text of the page, that do not part text, and that never close.
@@ -41,8 +42,9 @@ BOILERPLATE_NAMES = re.compile(
     r"footer|gdpr|header|legal|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|overlay|pager|pagination|popup|promo\w*|recommend\w*|related|"
     r"replies|reply|respond|search|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|tags|toolbar|topbar|tracking|widgets?)(?:$|[\s_-])"
 )
-#: What a named part is worth in log odds, and what it costs to part neighbours and blocks of one parent.
-NAMED, ADJACENT, SIBLINGS = 8.0, 0.6, 0.6
+#: What a named part and a block all of links are worth in log odds, and what it costs to part neighbours and
+#: blocks of one parent.
+NAMED, LINKED, ADJACENT, SIBLINGS = 8.0, 3.0, 0.6, 0.6
 
 # The tag's rest: text without quotes, quoted text, or a quote that never closes.
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?", re.DOTALL)
@@ -248,7 +250,8 @@ def main_text(html: str | None, weights: np.ndarray) -> str:
     blocks = blocks_of(html or "")
     if not blocks:
         return ""
-    gain = np.clip(features(blocks) @ weights, -4, 4) + NAMED * np.array([b.node.named for b in blocks])
+    form = features(blocks)
+    gain = np.clip(form @ weights, -4, 4) - LINKED * form[:, 2] + NAMED * np.array([b.node.named for b in blocks])
     edges, last = [], {}
     for k, block in enumerate(blocks):
         if k:
@@ -273,13 +276,13 @@ def extract(
     """Per row: the id, the url, ``text`` (empty if there is none) and ``n_chars``, its code points.
 
     White space within a block becomes one space, blocks are joined by one.  Null and empty pages, and pages
-    that are all boilerplate, have an empty text.  The classifier is trained on ``sample`` pages, those of the
-    smallest hashes of the id; every page is then worked on whole.  Rows may repeat, and id
+    that are all boilerplate, have an empty text.  The classifier is trained on ``sample`` pages, chosen by
+    a hash; every page is then worked on whole.  Rows may repeat, and id
     and url may be null; other columns are left out.
     """
     html = F.col(html_column).cast("string")
     chosen = pages.where(html.isNotNull()).select(F.col(id_column).alias("id"), html.alias("html"))
-    rows = chosen.orderBy(F.xxhash64(F.col("id").cast("string")), F.md5("html")).limit(sample).collect()
+    rows = hashed_sample(chosen, ["id", "html"], sample).collect()
     shared = spark.sparkContext.broadcast(train([r["html"] for r in rows]))
     kinds = [pages.schema[c].dataType.simpleString() for c in (id_column, url_column)]
 
