@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marquee.llm.sampling import hashed_sample
 from marquee.llm.shipping import in_tasks, ship
 from marquee.llm.storage import stored
 
@@ -225,7 +226,7 @@ def search(
 
     All rows are indexed; ``is_query`` (of the columns of ``vectors``) says which of them ask.  The score is the
     cosine of the given vectors in double precision; ties go to the smaller id.  A query's own id never is
-    its answer.  The router is fitted on ``sample`` rows, those of the smallest hashes of the id.
+    its answer.  The router is fitted on at most ``sample`` rows, chosen by a hash.
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do null ids and
     vectors that are not as long as the longest in the sample.  Fewer answers than ``count`` come only if
     there are no more vectors.
@@ -234,9 +235,10 @@ def search(
     vector = F.transform(F.col(vector_column), lambda x: x.cast("double"))
     read = vectors.select(F.col(id_column).cast("long").alias("id"), vector.alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     read = read.where(F.col("id").isNotNull() & usable(F.col("vector")))
-    chosen = read.select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(sample).toArrow()["vector"].to_pylist()
+    chosen = hashed_sample(read.select("id", "vector"), ["id", "vector"], sample).toArrow()["vector"].to_pylist()
     dimension = max(map(len, chosen), default=0)
-    chosen = np.array([v for v in chosen if len(v) == dimension], dtype=np.float64).reshape(-1, dimension)
+    chosen = np.array([v for v in chosen if len(v) == dimension], dtype=np.float64)
+    chosen = chosen.reshape(len(chosen), dimension)
     router = fit(chosen, count)
     held = spark.sparkContext.broadcast(router)
     fitting = read.where(F.size("vector") == dimension)

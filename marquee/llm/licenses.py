@@ -19,6 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.llm.sampling import hashed_sample
 from marquee.llm.storage import stored
 
 NONE = "none"
@@ -176,16 +177,17 @@ class LicenceModel:
 def fit(spark: SparkSession, docs: DataFrame, passing: float = 0.005, share: float = 0.6) -> LicenceModel:
     """A classifier trained on notices, with at most ``NEGATIVES`` paragraphs of ``docs`` as what is none.
 
-    Those are the paragraphs of the smallest hashes that hold no three words of a template in a row.  A fifth of all
-    examples is kept out to calibrate: at most ``passing`` of those that are none may reach the probability
+    Those are paragraphs of as many documents, chosen by a hash, and hold no three words of a template in a row.
+    A fifth of all examples is kept out to calibrate: at most ``passing`` of those that are none may reach the probability
     that is asked for.  ``share`` is how many of a template's word pairs a notice must hold.
     """
     families = [NONE, *sorted(TEMPLATES)]
     threes = sorted({" ".join(w[k : k + 3]) for ns in TEMPLATES.values() for n in ns for w in [n.split()] for k in range(len(w) - 2)})
     spaced = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     quiet = ~spaced.rlike(" (?:" + "|".join(threes) + ") ")
-    plain = paragraphs(docs).select("words", F.xxhash64("words").alias("order")).orderBy("order").limit(NEGATIVES)
-    plain = plain.where(quiet).select("words")
+    some = paragraphs(hashed_sample(docs, docs.columns, NEGATIVES)).select("words", F.xxhash64("words").alias("order"))
+    plain = some.orderBy("order", "words").limit(NEGATIVES)
+    plain = stored(spark, plain.where(quiet).select("words"), "plain")
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     examples = _examples(spark, plain).withColumn("label", label.cast("double"))
     examples = examples.withColumn("kept_out", F.pmod(F.xxhash64("words", "family"), F.lit(5)) == 0)
@@ -218,7 +220,7 @@ def find_licences(
     gives a row.  Other columns are left out.  Every paragraph is classified, whatever its length.
     """
     read = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    model = model or fit(spark, read.select("text"))
+    model = model or fit(spark, read)
     # Rows alike in id and text get the same answer; they are counted and given back.
     key = read.withColumn("mark", F.xxhash64("text"))
     found = model.confirmed(model.predict(paragraphs(key).select("id", "mark", "place", "words")))
