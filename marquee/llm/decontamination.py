@@ -218,19 +218,32 @@ def matches(
         F.lit(None).cast("binary").alias("hit"),
         F.array().cast("array<string>").alias("items"),
     )
-    for block in blocks_of(benchmark, item_column, "text"):
-        shared = context.broadcast(block)
-        frame = in_tasks(frame, _marks(shared, uuid.uuid4().hex, window), f"id {kind}, text string, hit binary, items array<string>")
-    schema = f"id {kind}, n_words long, n_hit long, items array<string>, spans array<struct<begin:long,end:long>>"
-    return in_tasks(frame, _summed, schema).withColumnRenamed("id", id_column)
+    between = f"id {kind}, text string, hit binary, items array<string>"
+    final = f"id {kind}, n_words long, n_hit long, items array<string>, spans array<struct<begin:long,end:long>>"
+    blocks = blocks_of(benchmark, item_column, "text")
+    block = next(blocks)
+    while block is not None:
+        following = next(blocks, None)
+        work = _marks(context.broadcast(block), uuid.uuid4().hex, window, last=following is None)
+        frame = in_tasks(frame, work, final if following is None else between)
+        block = following
+    return frame.withColumnRenamed("id", id_column)
 
 
 #: The automaton that a process built last, by the name of its pass.
 _AUTOMATA: dict[str, Automaton] = {}
 
 
-def _marks(shared: Broadcast, name: str, window: int) -> Callable:
-    """A pass: adds the hits and items of one automaton to those of earlier passes."""
+def _marks(shared: Broadcast, name: str, window: int, last: bool) -> Callable:
+    """A pass: adds the hits and items of one automaton to those of earlier passes; the last one sums up."""
+    pair = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
+
+    def spans_of(hit: np.ndarray, found: Found) -> list[dict[str, int]]:
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
+        return [
+            {"begin": int(found.begins[a]), "end": int(found.ends[b - 1])}
+            for a, b in zip(edges[::2], edges[1::2], strict=True)
+        ]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _AUTOMATA:
@@ -238,39 +251,26 @@ def _marks(shared: Broadcast, name: str, window: int) -> Callable:
             _AUTOMATA[name] = Automaton(shared.value, window)
         automaton = _AUTOMATA[name]
         for batch in slices(batches, "text"):
-            masks, items = [], []
+            hits, items, spans = [], [], []
             before = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
             for found, (mask, names) in zip(scan(automaton, batch.column(1)), before, strict=True):
                 hit = found.hit if mask is None else found.hit | np.frombuffer(mask, bool)
-                masks.append(hit.tobytes())
+                hits.append(hit)
                 items.append(sorted({*names, *map(str, found.items)}))
-            columns = [batch.column(0), batch.column(1), pa.array(masks, pa.binary()), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text", "hit", "items"])
+                if last:
+                    spans.append(spans_of(hit, found))
+            listed = pa.array(items, pa.list_(pa.string()))
+            if last:
+                counts = [pa.array([f(h) for h in hits], pa.int64()) for f in (len, np.count_nonzero)]
+                columns = [batch.column(0), *counts, listed, pa.array(spans, pa.list_(pair))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "n_hit", "items", "spans"])
+            else:
+                columns = [batch.column(0), batch.column(1), pa.array([h.tobytes() for h in hits], pa.binary()), listed]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "text", "hit", "items"])
 
     return run
 
 
-def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts and spans of the hit words."""
-    pair = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
-    for batch in slices(batches, "text"):
-        raw, starts = buffer_of(batch.column(1))
-        begins, ends = word_spans(raw, starts, letter_digit_words())
-        bounds = words_per_text(begins, starts)
-        counts, spans = [], []
-        for k, mask in enumerate(batch.column(2).to_pylist()):
-            hit = np.frombuffer(mask, bool)
-            counts.append((len(hit), int(hit.sum())))
-            edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
-            place = [(bounds[k] + a, bounds[k] + b - 1) for a, b in zip(edges[::2], edges[1::2], strict=True)]
-            spans.append([{"begin": int(begins[a] - starts[k]), "end": int(ends[b] - starts[k])} for a, b in place])
-        n_words, n_hit = zip(*counts, strict=True)
-        columns = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), batch.column(3)]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(spans, pa.list_(pair))], ["id", "n_words", "n_hit", "items", "spans"]
-        )
-
-
 def without_spans(text: str | None, spans: Sequence[tuple[int, int]]) -> str:
     """A text with its hit stretches cut out; the words around them stay apart."""
     raw, kept, at = (text or "").encode(), [], 0

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from hashlib import md5
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.storage import shared_folder
@@ -35,7 +36,24 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+#: Texts are long, so fewer rows than Spark's usual ten thousand go to a Python worker at once.
+ROWS_AT_ONCE = 500
+_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def in_tasks(frame: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand."""
-    ship(frame.sparkSession)
-    return frame.mapInArrow(work, schema)
+    """``mapInArrow`` with this package at hand; memory that a task no longer needs goes back at its end.
+
+    Workers live on between tasks, and what they keep adds up.  A smaller batch size that the session
+    sets is left as it is.
+    """
+    session = frame.sparkSession
+    ship(session)
+    if int(session.conf.get(_ROWS_SETTING)) > ROWS_AT_ONCE:
+        session.conf.set(_ROWS_SETTING, str(ROWS_AT_ONCE))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+
+    return frame.mapInArrow(run, schema)
