@@ -131,7 +131,7 @@ def test_runtime(small):
         (120, 6.0, "tvSeries"),
     ]
     bands = {r.runtime_bin: r.num_titles for r in runtime.runtime_perception(small.titles, small.ratings).collect()}
-    assert bands == {"<30 min": 1, "30-60 min": 2, "90-120 min": 1, ">120 min": 1}
+    assert bands == {"<30 min": 1, "30-60 min": 2, "90-120 min": 1, ">120 min": 1, "unknown": 2}
     corr = runtime.runtime_rating_correlation(small.titles, small.ratings)
     assert corr.count() == 4
 

@@ -87,7 +87,9 @@ def test_text_round_trip(spark, small, tmp_path):
 
 
 def test_table_schemas(spark, small):
-    got = catalogue.table_schemas({"ratings": small.ratings, "crew": small.crew}, rows=2)
+    got = catalogue.table_schemas(
+        {"ratings": small.ratings, "crew": small.crew}, rows=2, order_by={"ratings": ["tconst"]}
+    )
     listed = sorted(rows(got.select("table_name", "position", "column_name", "data_type").distinct()))
     assert listed == [
         ("crew", 0, "tconst", "string"),
