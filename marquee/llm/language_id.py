@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.batches import buffer_of, slices
 from marquee.llm.shipping import in_tasks
+from marquee.llm.storage import stored
 
 UNKNOWN = "und"
 WIDTH = 4
@@ -125,15 +126,19 @@ def fit(
 ) -> Filters:
     """Filters learned from all rows that have a language.
 
-    A language's filter takes those of its ``most`` most frequent n-grams that are not rarer in it
-    than ``share`` of their frequency where they are most frequent.  ``most`` bounds what reaches the driver,
-    ``bits`` the size of a filter.  Without any labelled row there are no languages.
+    A language's filter takes its ``most`` most frequent n-grams, or fewer, since of equally frequent ones
+    all or none are taken, and of these the ones that are not rarer in it than ``share`` of their frequency
+    where they are most frequent.  ``most`` bounds what reaches the driver, ``bits`` the size of a filter.
+    Without any labelled row there are no languages.
     """
-    counts = gram_counts(docs, text_column, lang_column)
-    ranked = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    best = counts.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= most)
-    rows = best.join(F.broadcast(sums), "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
+    counts = stored(docs.sparkSession, gram_counts(docs, text_column, lang_column), "gram-counts")
+    levels = counts.groupBy("lang", "n").agg(F.count("*").alias("grams"))
+    falling = Window.partitionBy("lang").orderBy(F.desc("n"))
+    reached = levels.withColumn("reached", F.sum("grams").over(falling))
+    least = F.min(F.when(F.col("reached") <= most, F.col("n"))).alias("least")
+    cuts = reached.groupBy("lang").agg(F.sum(F.col("n") * F.col("grams")).alias("total"), least)
+    best = counts.join(F.broadcast(cuts), "lang").where(F.col("n") >= F.col("least"))
+    rows = best.select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
     table = rows.toArrow()
     names = table["lang"].to_pylist()
     languages = sorted(set(names))
