@@ -201,6 +201,17 @@ def test_language_without_labels(spark):
     assert [(r.lang_pred, r.score) for r in language_id.predict(docs, filters).collect()] == [("und", 0.0)]
 
 
+@pytest.mark.parametrize(("most", "kept"), [(4, 4), (3, 2), (2, 2)])
+def test_equally_frequent_n_grams_stay_together(spark, most, kept):
+    import pyarrow as pa
+
+    filters = language_id.fit(spark.createDataFrame([("abc abc", "x")], "text string, lang string"), most=most)
+    grams, _ = language_id.grams_of(pa.array([" abc abc "], pa.string()))
+    every = np.unique(grams)
+    assert len(every) == 4
+    assert round(filters.counts(every, np.array([0, 4]))[0, 0]) == kept
+
+
 def test_n_grams_stay_in_their_text():
     import pyarrow as pa
 
