@@ -5,12 +5,18 @@ the licence family, or that it is none.  What it must be sure of is calibrated o
 training: no more than a small share of those without a licence may pass.  A family is only reported if the
 paragraph also holds enough of the word pairs of one of its templates.
 
+A paragraph is a line.  A notice may be wrapped over lines or stand in a long one, so the stretches of a template's
+length around its telling word pairs are classified as well, across the lines between two blank ones.
+
 Everything is DataFrame functions and Spark's own transformers; no Python runs on rows.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable
 from functools import reduce
+from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -114,6 +120,89 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return lines.withColumn("words", words_of(F.col("line"))).where(F.size("words") > 0)
 
 
+#: Words that say little about a notice.
+_COMMON = frozenset("a an and any as at be by for from in is it no not of on or that the this to under with you".split())
+#: Two line breaks with no word between them.
+_GAP = r"(?>\R)[^\p{L}\p{N}\x{0A}-\x{0D}\x{85}\x{2028}\x{2029}]*+(?>\R)"
+
+
+def telling_pairs(share: float) -> dict[str, list[tuple[str, int, int]]]:
+    """Word pairs, each with the family, its place and the number of words of the templates it tells of.
+
+    So many per template that none is without one if ``share`` of its distinct pairs are there.
+    """
+    notices = [(family, notice.split()) for family in sorted(TEMPLATES) for notice in TEMPLATES[family]]
+    paired = [(family, words, list(zip(words, words[1:], strict=False))) for family, words in notices]
+    often = Counter(pair for _, _, pairs in paired for pair in set(pairs))
+    told: dict[str, list[tuple[str, int, int]]] = {}
+    for family, words, pairs in paired:
+        ranked = sorted(set(pairs), key=lambda p: (sum(w in _COMMON for w in p), often[p], p))
+        for pair in ranked[: len(ranked) - ceil(share * len(ranked) - 1e-9) + 1]:
+            told.setdefault(" ".join(pair), []).extend((family, k, len(words)) for k, p in enumerate(pairs) if p == pair)
+    return told
+
+
+def _any_of(pairs: Iterable[str]) -> str:
+    """A pattern of the given word pairs that tells them apart letter by letter, so that few are tried at a place."""
+    tree: dict[str, dict] = {}
+    for pair in pairs:
+        node = tree
+        for letter in pair:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def written(node: dict[str, dict]) -> str:
+        if "" in node:
+            return ""
+        branches = [(r"[^\p{L}\p{N}]++" if letter == " " else letter) + written(below) for letter, below in sorted(node.items())]
+        return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+    return written(tree)
+
+
+def stretches(parts: DataFrame, share: float) -> DataFrame:
+    """The stretches of ``part`` (text without blank lines) that a template may fill: its ``family``, ``first`` and
+    ``last`` line, and the ``words``, with some more on both sides."""
+    kept = [c for c in parts.columns if c != "part"]
+    told = telling_pairs(share)
+    lines = F.transform(F.split("part", r"\R"), lambda line, at: F.transform(words_of(line), lambda w: F.struct(at.alias("line"), w.alias("word"))))
+    placed = parts.where(F.lower("part").rlike(r"(?<![\p{L}\p{N}])" + _any_of(told))).select(*kept, F.flatten(lines).alias("placed"))
+    placed = placed.withColumn("all", F.col("placed.word")).where(F.size("all") > 1)
+
+    # The functions of elements below read nothing but these: what they read of the row is made anew for each.
+    later = F.slice("all", 2, F.size("all") - 1)
+    paired = F.transform(
+        F.zip_with(F.slice("all", 1, F.size("all") - 1), later, lambda a, b: F.concat_ws(" ", a, b)),
+        lambda p, k: F.struct(p.alias("pair"), k.alias("at")),
+    )
+    templates = F.create_map(
+        *(
+            x
+            for name, found in sorted(told.items())
+            for x in (F.lit(name), F.array(*(F.struct(F.lit(f).alias("family"), F.lit(k).alias("k"), F.lit(n).alias("n")) for f, k, n in found)))
+        )
+    )
+
+    def around(hit: Column) -> Column:
+        return F.transform(
+            F.element_at(templates, hit["pair"]),
+            lambda t: F.struct(t["family"].alias("family"), (hit["at"] - t["k"]).alias("begin"), t["n"].alias("n")),
+        )
+
+    hits = F.filter(paired, lambda p: p["pair"].isin(sorted(told)))
+    cuts = placed.select(*kept, "placed", "all", F.inline(F.array_distinct(F.flatten(F.transform(hits, around)))))
+    # Words may have been put in.
+    more = F.floor(F.col("n") / 4).cast("int")
+    begin = F.greatest(F.lit(0), F.col("begin") - more)
+    return cuts.select(
+        *kept,
+        F.col("family").alias("asked"),
+        F.get("placed", F.greatest(F.lit(0), F.col("begin")))["line"].alias("first"),
+        F.get("placed", F.least(F.size("all"), F.col("begin") + F.col("n")) - 1)["line"].alias("last"),
+        F.slice("all", begin + 1, F.col("begin") + F.col("n") + more - begin).alias("words"),
+    )
+
+
 def _examples(spark: SparkSession, plain: DataFrame) -> DataFrame:
     """``family`` and ``words`` to train on: templates with words lost and others around them, and plain paragraphs."""
     rows = [(family, notice) for family, notices in sorted(TEMPLATES.items()) for notice in notices]
@@ -215,6 +304,7 @@ def find_licences(
 ) -> DataFrame:
     """Per row: the id, ``n_paragraphs``, ``n_notices``, ``licences`` and ``best_probability``.
 
+    Paragraphs are lines that hold a word.  A notice is a line, or one wrapped over lines or held in a long one.
     ``licences`` are the families found, sorted and joined by commas; without any it is empty and the
     probability 0.  A null, empty or blank text has no paragraphs.  Rows may repeat and ids may be null: each row
     gives a row.  Other columns are left out.  Every paragraph is classified, whatever its length.
@@ -223,27 +313,55 @@ def find_licences(
     model = model or fit(spark, read)
     # Rows alike in id and text get the same answer; they are counted and given back.
     key = read.withColumn("mark", F.xxhash64("text"))
-    found = model.confirmed(model.predict(paragraphs(key).select("id", "mark", "place", "words")))
-    notice = F.col("family") != NONE
+    parts = key.select("id", "mark", F.posexplode(F.split("text", _GAP)).alias("part", "text"))
+    lines = paragraphs(parts).select("id", "mark", "part", F.lit(1).alias("line"), F.col("place").alias("first"), F.col("place").alias("last"), "words")
+    cut = stretches(parts.select("id", "mark", F.col("part").alias("at_part"), F.col("text").alias("part")), model.share)
+    cut = cut.withColumnRenamed("at_part", "part").withColumn("line", F.lit(0))
+    both = lines.withColumn("asked", F.lit(None).cast("string")).unionByName(cut)
+    found = model.confirmed(model.predict(both))
+    notice = (F.col("family") != NONE) & F.coalesce(F.col("family") == F.col("asked"), F.lit(True))
     each = found.select(
-        "id", "mark", F.lit(0).alias("row"), F.lit(1).alias("paragraph"),
-        F.when(notice, F.col("family")).alias("family"), F.when(notice, F.col("probability")).alias("probability"),
-    )
+        "id", "mark", F.lit(0).alias("row"), F.col("line").alias("paragraph"),
+        F.when(notice, F.struct("family", "part", "first", "last", "line")).alias("notice"),
+        F.when(notice, F.col("probability")).alias("probability"),
+    ).where("paragraph = 1 OR notice IS NOT NULL")
     rows = key.select(
         "id", "mark", F.lit(1).alias("row"), F.lit(0).alias("paragraph"),
-        F.lit(None).cast("string").alias("family"), F.lit(None).cast("double").alias("probability"),
+        F.lit(None).cast(each.schema["notice"].dataType).alias("notice"), F.lit(None).cast("double").alias("probability"),
     )
+    # The notices of one document, which its own length bounds; repeated rows have the same.
     summed = rows.unionByName(each).groupBy("id", "mark").agg(
         F.sum("row").alias("rows"),
         F.sum("paragraph").alias("paragraphs"),
-        F.count("family").alias("notices"),
-        F.array_join(F.array_sort(F.collect_set("family")), ",").alias("licences"),
+        F.array_sort(F.collect_set("notice")).alias("notices"),
         F.coalesce(F.max("probability"), F.lit(0.0)).alias("best_probability"),
     )
     return summed.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).select(
         F.col("id").alias(id_column),
         (F.col("paragraphs") / F.col("rows")).cast("long").alias("n_paragraphs"),
-        (F.col("notices") / F.col("rows")).cast("long").alias("n_notices"),
-        "licences",
+        _apart(F.col("notices")).alias("n_notices"),
+        F.array_join(F.array_distinct(F.col("notices.family")), ",").alias("licences"),
         "best_probability",
     )
+
+
+def _apart(notices: Column) -> Column:
+    """How many notices there are: lines that are one, and runs of meeting stretches of a family without such a line."""
+
+    def state(count: Column, notice: Column, reach: Column, lines: Column) -> Column:
+        return F.struct(
+            count.cast("long").alias("count"), notice["family"].alias("family"), notice["part"].alias("part"),
+            reach.cast("int").alias("reach"), lines.cast("int").alias("lines"),
+        )
+
+    def step(so_far: Column, notice: Column) -> Column:
+        meets = (so_far["family"] == notice["family"]) & (so_far["part"] == notice["part"]) & (notice["first"] <= so_far["reach"])
+        return F.when(
+            F.coalesce(meets, F.lit(False)),
+            state(so_far["count"], notice, F.greatest(so_far["reach"], notice["last"]), so_far["lines"] + notice["line"]),
+        ).otherwise(state(so_far["count"] + F.greatest(so_far["lines"], F.lit(1)), notice, notice["last"], notice["line"]))
+
+    none = F.struct(F.lit(None).cast("string").alias("family"), F.lit(None).cast("int").alias("part"))
+    # The start is counted as a run of its own.
+    begun = state(F.lit(-1), none, F.lit(-1), F.lit(0))
+    return F.aggregate(notices, begun, step, lambda s: s["count"] + F.greatest(s["lines"], F.lit(1)))

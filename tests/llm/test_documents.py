@@ -249,3 +249,38 @@ def test_licences(spark, model):
          (6, 2, 2, "cc-by-nc,mit"): 2, (None, 1, 1, "gpl"): 1, (8, 1, 0, ""): 1}
     )
     assert licenses.find_licences(spark, frame(spark, rows).limit(0), model).count() == 0
+
+
+WRAPPED = {
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "gpl": """ * This program is free software: you can
+ * redistribute it and/or modify it under
+ * the terms of the GNU General Public
+ * License as published by the Free Software
+ * Foundation, either version 3 of the License, or""",
+}
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_licences_wrapped_over_lines(spark, model, end):
+    rows = [(k, WRAPPED[k].replace("\n", end)) for k in sorted(WRAPPED)]
+    rows += [("long", "ontha reth " * 150 + WRAPPED["isc"].replace("\n", " ") + " reth ontha" * 150)]
+    rows += [("parted", "Released under" + end + end + "the MIT" + end + end + "License")]
+    # Next to a line that is one already, and twice the same row.
+    rows += [("mit", "ontha\nReleased under the MIT License.\nLicensed under the\nApache License, Version 2.0")] * 2
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = Counter((r.doc_id, r.n_notices, r.licences) for r in licenses.find_licences(spark, docs, model).collect())
+    assert found == Counter(
+        {("bsd", 3, "bsd"): 1, ("isc", 1, "isc"): 1, ("gpl", 1, "gpl"): 1, ("long", 1, "isc"): 1, ("parted", 0, ""): 1, ("mit", 2, "apache,mit"): 2}
+    )
