@@ -42,9 +42,14 @@ BOILERPLATE_NAMES = re.compile(
     r"footer|gdpr|header|legal|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|overlay|pager|pagination|popup|promo\w*|recommend\w*|related|"
     r"replies|reply|respond|search|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|tags|toolbar|topbar|tracking|widgets?)(?:$|[\s_-])"
 )
-#: What a named part and a block all of links are worth in log odds, and what it costs to part neighbours and
-#: blocks of one parent.
-NAMED, LINKED, ADJACENT, SIBLINGS = 8.0, 3.0, 0.6, 0.6
+#: Words that make a class tell of another part of the page (``no-sidebar``).
+ABOUT_OTHERS = frozenset("no not non with without has is hide show layout page".split())
+#: Wrappers that hold articles of other pages, and what may stand in a head.
+ASIDES = frozenset("nav footer aside menu".split())
+HEAD_TAGS = frozenset("base link meta noscript script style template title".split())
+#: The classifier's bound in log odds, what a name and a block all of links are worth, and what it costs to part
+#: neighbours and blocks of one parent.  A name is worth less than the classifier can say against it.
+FORM, NAMED, LINKED, ADJACENT, SIBLINGS = 4.0, 3.0, 3.0, 0.6, 0.6
 
 # The tag's rest: text without quotes, quoted text, or a quote that never closes.
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?", re.DOTALL)
@@ -70,17 +75,35 @@ class BlockOfText:
     text: str = ""
 
 
+def _said(names: str, content: bool) -> int:
+    """What an element's names call it: 1 content (if asked for), -1 boilerplate, 0 neither or both."""
+    told = [n for n in names.split() if ABOUT_OTHERS.isdisjoint(re.split("[_-]", n))]
+    bad = [bool(BOILERPLATE_NAMES.search(n)) for n in told]
+    good = content and any(CONTENT_NAMES.search(n) for n, b in zip(told, bad, strict=True) if not b)
+    return int(good) - any(bad)
+
+
+def _aside(node: Node | None) -> bool:
+    while node is not None and node.tag not in ASIDES:
+        node = node.parent
+    return node is not None
+
+
 def _element(tag: str, rest: str, parent: Node) -> Node:
     named = parent.named
     names = " ".join("".join(m) for m in _NAMES.findall(rest)).lower() if rest else ""
     if named > 0:  # an article's own header holds its title
         names = names.replace("header", "")
+    said = _said(names, tag in ("div", "section")) if names and tag not in ("html", "body") else 0
     if tag in BOILERPLATE_TAGS or (tag == "header" and named <= 0):
         named = -1
-    elif names and tag not in ("html", "body") and BOILERPLATE_NAMES.search(names) and tag not in CONTENT_TAGS:
-        named = -1
-    elif named >= 0 and (tag in CONTENT_TAGS or (names and tag in ("div", "section") and CONTENT_NAMES.search(names))):
-        named = 1
+    elif tag in CONTENT_TAGS:
+        if named >= 0:
+            named = 1
+        elif said >= 0:  # a wrapper's name does not speak for an article in it
+            named = 0 if _aside(parent) else 1
+    elif said < 0 or (said > 0 and named >= 0):
+        named = said
     hidden = re.search(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", rest, re.IGNORECASE) if rest else None
     return Node(tag, parent, named, parent.silent or tag in SILENT or bool(hidden), parent.depth + 1)
 
@@ -107,16 +130,20 @@ def blocks_of(html: str) -> list[BlockOfText]:
 
     while True:
         token = _TOKEN.search(html, at)
+        text = html[at : token.start() if token else len(html)]
+        if here.tag == "head" and text.strip():  # a head that is left open ends where the page begins
+            here = here.parent
+        add(text)
         if token is None:
-            add(html[at:])
             break
-        add(html[at : token.start()])
         at = token.end()
         if not token[2]:
             continue
         tag = token[2].lower()
         if tag not in INLINE:
             current = None
+        if here.tag == "head" and not token[1] and tag not in HEAD_TAGS:
+            here = here.parent
         if token[1]:
             above = here
             while above is not root and above.tag != tag:
@@ -251,7 +278,11 @@ def main_text(html: str | None, weights: np.ndarray) -> str:
     if not blocks:
         return ""
     form = features(blocks)
-    gain = np.clip(form @ weights, -4, 4) - LINKED * form[:, 2] + NAMED * np.array([b.node.named for b in blocks])
+    gain = np.clip(form @ weights, -FORM, FORM) - LINKED * form[:, 2]
+    named = np.array([b.node.named for b in blocks])
+    if (named[gain > 0] < 0).all():  # a name of all that reads as content, such as a form around the page, tells nothing apart
+        named = np.array([n if n >= 0 or _aside(b.node) else 0 for n, b in zip(named, blocks, strict=True)])
+    gain += NAMED * named
     edges, last = [], {}
     for k, block in enumerate(blocks):
         if k:

@@ -44,6 +44,38 @@ def test_page_that_names_nothing(weights):
     assert found.startswith("Great story Once upon") and found.endswith("in the morning.")
 
 
+PROSE = (
+    "<h1>Great story</h1><p>Once upon a time, there was a long tale, told by many people, about the sea. It went on, and on, for many "
+    "sentences.</p><p>Then the people, all of them, went home, had supper, and slept until the sun came up again in the morning.</p>"
+)
+MENU = "<nav><ul><li><a href=1>More</a><li><a href=2>Stuff</a></ul></nav>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form>{MENU}{PROSE}</form></body>",
+        f"<body><form>{MENU}<article>{PROSE}</article></form></body>",
+        f"<body><div class='layout sidebar'>{MENU}<main>{PROSE}</main></div></body>",
+        f"<body>{MENU}<div class='content no-sidebar'>{PROSE}</div></body>",
+        f"<body class=x>{MENU}<div class='with-sidebar'>{PROSE}</div></body>",
+        f"<body>{MENU}<div class='post share'>{PROSE}</div></body>",
+        f"<html><head><title>T</title><meta charset=utf-8><body>{MENU}{PROSE}</body>",
+        f"<html><head><title>T</title><div>{MENU}{PROSE}</div>",
+    ],
+)
+def test_names_and_heads_do_not_lose_the_text(weights, page):
+    found = html_extraction.main_text(page, weights)
+    assert found.startswith("Great story Once upon") and found.endswith("in the morning.")
+
+
+def test_articles_of_other_pages_stay_out(weights):
+    teaser = "<article><a href=5>Other tale</a></article>"
+    remark = "<section id=comments><article class=comment-body><p>Nice.</article></section>"
+    found = html_extraction.main_text(f"<body><main>{PROSE}</main><aside>{teaser}{teaser}</aside>{remark}</body>", weights)
+    assert found.endswith("in the morning.")
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!-- x", "<script>x", "<a href=\"x" * 500, "<div>" * 3000, "</p></div>"])
 def test_odd_pages(weights, page):
     assert html_extraction.main_text(page, weights) == ""
