@@ -6,7 +6,8 @@ Seeds and candidates stand in contexts: the word before them, and the two words
 contexts and instances form a graph.  A context is as reliable for a kind as the share of
 its instances that are believed; an instance is believed as far as its contexts are reliable;
 both are computed in turns, from the seeds on.  Candidates that end up believed through
-contexts with enough different seeds are added.
+contexts with enough different seeds are added.  They then count as seeds do, and may make further
+contexts reliable, until no candidate is added any more.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.batches import slices
 from marquee.llm.shipping import in_tasks
-from marquee.llm.storage import stored
+from marquee.llm.storage import drop, stored
 
 #: Kinds in the order that settles equal starts.
 KINDS = ("email", "ip", "card", "phone")
@@ -117,7 +118,7 @@ def occurrences(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Per row the spans of fixed form, and all strings of either sort with their contexts."""
     kind = docs.schema[id_column].dataType.simpleString()
     item = pa.struct(
-        [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("seed", pa.bool_()), ("instance", pa.string()), ("contexts", pa.list_(pa.string()))]
+        [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("seed", pa.bool_()), ("first", pa.bool_()), ("instance", pa.string()), ("contexts", pa.list_(pa.string()))]
     )
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,10 +130,12 @@ def occurrences(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 base.append(written(own))
                 counts.append([sum(k == kind for k, _, _ in own) for kind in KINDS])
                 listed = [(s, True) for s in own] + [(s, False) for s in loose_spans(text, own)]
+                # A number may be of two kinds; it occurs once.
+                firsts = {(a, b): n for n, ((_, a, b), _) in reversed(list(enumerate(listed)))}
                 graph.append(
                     [
-                        {"kind": k, "start": a, "end": b, "seed": seed, "instance": hashlib.md5(text[a:b].lower().encode()).hexdigest(), "contexts": contexts(text, a)}
-                        for (k, a, b), seed in listed
+                        {"kind": k, "start": a, "end": b, "seed": seed, "first": firsts[a, b] == n, "instance": hashlib.md5(text[a:b].lower().encode()).hexdigest(), "contexts": contexts(text, a)}
+                        for n, ((k, a, b), seed) in enumerate(listed)
                     ]
                 )
             columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True))]
@@ -141,37 +144,51 @@ def occurrences(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     numbers = ", ".join(f"n_{k} long" for k in KINDS)
-    fields = "kind:string,start:long,end:long,seed:boolean,instance:string,contexts:array<string>"
+    fields = "kind:string,start:long,end:long,seed:boolean,first:boolean,instance:string,contexts:array<string>"
     return in_tasks(read, find, f"id {kind}, {numbers}, base string, graph array<struct<{fields}>>")
 
 
 def believed(spark: SparkSession, graph: DataFrame, rounds: int, reliable: float, seeds: int) -> DataFrame:
     """``kind`` and ``instance`` of the candidates that their contexts make believable.
 
-    ``graph`` has ``kind``, ``instance``, ``seed`` and ``context`` per occurrence.  Edges carry how often an
-    instance stands in a context.  A context counts if at least ``seeds`` different seeds of the kind
-    stand in it; its reliability is the share of its occurrences, of any kind, that are
-    believed to be of the kind.  An instance has the belief of its best context.
+    ``graph`` has ``kind``, ``instance``, ``seed``, ``first`` and ``context`` per occurrence; ``first`` is false where
+    the same occurrence is listed for another kind already.  Edges carry how often an instance stands in a
+    context.  A context counts if at least ``seeds`` different instances of the kind that are seeds or believed
+    already stand in it; its reliability is the share of its occurrences, of any kind, that are
+    believed to be of the kind.  An instance has the belief of its best context.  After ``rounds`` of these scores the
+    instances of a belief of ``reliable`` are believed for good, and all is counted anew, until there are no new ones.
     """
-    edges = graph.groupBy("context", "kind", "instance").agg(F.count("*").alias("times"), F.max("seed").alias("seed"))
+    edges = graph.groupBy("context", "kind", "instance").agg(
+        F.count("*").alias("times"), F.max("seed").alias("seed"), F.sum(F.col("first").cast("long")).alias("first")
+    )
     edges = stored(spark, edges, "pii-graph")
-    every = edges.groupBy("context").agg(F.sum("times").alias("every"))
-    support = edges.where("seed").groupBy("context", "kind").agg(F.count("*").alias("support"))
-    useful = support.where(F.col("support") >= seeds).join(every, "context")
-    # Only contexts with enough seeds can ever count, so the rest of the graph is left out.
-    edges = edges.join(useful, ["context", "kind"])
-    belief = edges.select("kind", "instance", F.col("seed").cast("double").alias("belief")).groupBy("kind", "instance").agg(F.max("belief").alias("belief"))
+    every = stored(spark, edges.groupBy("context").agg(F.sum("first").alias("every")), "pii-contexts")
+    sure = stored(spark, edges.where("seed").select("kind", "instance").distinct().withColumn("given", F.lit(True)), "pii-sure")
+    while True:
+        known = edges.drop("seed", "first").join(sure, ["kind", "instance"], "left").withColumn("sure", F.col("given").isNotNull())
+        support = known.where("sure").groupBy("context", "kind").agg(F.count("*").alias("support"))
+        useful = support.where(F.col("support") >= seeds).join(every, "context").select("context", "kind", "every")
+        # Contexts without enough of them cannot count yet.
+        near = stored(spark, known.join(useful, ["context", "kind"]), "pii-near")
+        new = stored(spark, _scored(near, rounds).where(~F.col("sure") & (F.col("belief") >= reliable)), "pii-new")
+        drop(spark, near)
+        if new.isEmpty():
+            return sure.where("NOT given").select("kind", "instance")
+        sure = stored(spark, sure.unionByName(new.select("kind", "instance", F.lit(False).alias("given"))), "pii-sure")
+
+
+def _scored(edges: DataFrame, rounds: int) -> DataFrame:
+    """``kind``, ``instance``, ``sure`` and ``belief`` after so many rounds; what is sure has a belief of 1."""
+    belief = edges.groupBy("kind", "instance").agg(F.max(F.col("sure").cast("double")).alias("belief"), F.max("sure").alias("sure"))
     for _ in range(rounds):
         trusted = (
-            edges.join(belief, ["kind", "instance"])
+            edges.join(belief.select("kind", "instance", "belief"), ["kind", "instance"])
             .groupBy("context", "kind")
             .agg((F.sum(F.col("times") * F.col("belief")) / F.first("every")).alias("reliability"))
         )
         scored = edges.join(trusted, ["context", "kind"]).groupBy("kind", "instance")
-        belief = scored.agg(
-            F.when(F.max("seed"), F.lit(1.0)).otherwise(F.max("reliability")).alias("belief"), F.max("seed").alias("seed")
-        )
-    return belief.where(~F.col("seed") & (F.col("belief") >= reliable)).select("kind", "instance")
+        belief = scored.agg(F.when(F.max("sure"), F.lit(1.0)).otherwise(F.max("reliability")).alias("belief"), F.max("sure").alias("sure"))
+    return belief
 
 
 def find_pii(
@@ -192,7 +209,7 @@ def find_pii(
     """
     found = stored(spark, occurrences(docs, id_column, text_column).withColumn("row", F.monotonically_increasing_id()), "pii")
     each = found.select("row", F.inline("graph"))
-    graph = each.select("kind", "instance", "seed", F.explode("contexts").alias("context"))
+    graph = each.select("kind", "instance", "seed", "first", F.explode("contexts").alias("context"))
     added = (
         each.where("NOT seed")
         .join(believed(spark, graph, rounds, reliable, seeds), ["kind", "instance"])

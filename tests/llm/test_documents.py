@@ -134,6 +134,24 @@ def test_contexts_find_unseen_numbers(spark):
     assert pii.masked(rows[8][1], found[20].spans) == "please phone <PHONE> or else"
 
 
+def test_found_numbers_teach_further_contexts(spark):
+    rows = [(k, f"please phone +1 (20{k}) 555-01{k:02d} or else") for k in range(8)]
+    # Five loose numbers in the seeds' context, the same in one of their own, and one that stands only there.
+    loose = [f"203 555 98{k}0" for k in range(5)]
+    rows += [(20 + k, f"please phone {n} or else") for k, n in enumerate(loose)]
+    rows += [(30 + k, f"desk lamp {n} is") for k, n in enumerate(loose)] + [(40, "desk lamp 204 777 1234 is"), (41, "far room 205 888 4321 is")]
+    found = {r.doc_id: r for r in pii.find_pii(spark, frame(spark, rows)).collect()}
+    assert all(found[20 + k].spans == "phone:13:25" and found[30 + k].spans == "phone:10:22" for k in range(5))
+    assert found[40].spans == "phone:10:22" and found[41].spans == ""
+
+
+def test_a_number_of_two_kinds_occurs_once(spark):
+    rows = [(k, f"please phone +1 (20{k}) 555-01{k:02d} or else") for k in range(8)]
+    rows += [(20 + k, f"please phone 4420 3555 98{k:02d} or else") for k in range(8)]
+    found = {r.doc_id: r for r in pii.find_pii(spark, frame(spark, rows)).collect()}
+    assert all(found[20 + k].spans == "phone:13:27" for k in range(8))
+
+
 def test_no_context_no_additions(spark):
     rows = [(k, f"w{'abcdefgh'[k % 8]} 55{k}-123-45{k}7 and") for k in range(10)] + [(None, "m@a.bc"), (1, "m@a.bc")]
     found = pii.find_pii(spark, frame(spark, rows)).collect()
