@@ -21,13 +21,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
-    """Of documents linked by five-word shingles of a similarity of 0.8 the one of the smallest id stays.
+    """Of documents linked by five-word shingles of a similarity of 0.8 the one of the smallest id stays, nulls last.
 
-    Documents without words or id are no duplicates; rows that share an id stay or go together.
+    Documents without words are no duplicates.  Texts that share an id are told apart; rows alike in
+    id and text are one document and stay or go together, but of those without an id one stays.
     """
-    found = jaccard_join.near_duplicates(spark, docs, width=5, threshold=0.8)
-    copies = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    marked = docs.withColumn("_id", F.xxhash64("doc_id", "text"))
+    found = jaccard_join.near_duplicates(spark, marked, width=5, threshold=0.8, id_column="_id")
+    linked = found.where(F.col("_id") != F.col("component_id")).select("_id", "component_id").distinct()
+    linked = stored(spark, linked, "linked")
+    members = linked.unionByName(linked.select(F.col("component_id").alias("_id"), "component_id").distinct())
+    named = marked.select("_id", "doc_id").join(members, "_id").distinct()
+    named = stored(spark, named.withColumn("_rank", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_id")), "members")
+    best = named.groupBy("component_id").agg(F.min("_rank").alias("_best"))
+    copies = named.join(best, "component_id").where(F.col("_rank") != F.col("_best")).select("_id")
+    kept = marked.join(copies, "_id", "left_anti")
+    # Rows without an id whose texts are equal are copies, too.
+    single = F.col("doc_id").isNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    alone = kept.where(single).groupBy("_id").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return kept.where(~single).select(*docs.columns).unionByName(alone)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,16 @@ def test_stages_take_odd_rows(spark):
         texts = sorted(r.text for r in docs.collect())
         assert texts == (["a b c", "a b c", "mail me: <EMAIL>"] if rows else [])
         corpus_pipeline.pack_sequences(spark, docs, FOLDER).count()
+
+
+def test_near_duplicates_are_told_apart_by_row(spark):
+    schema = queries.read(spark, FOLDER, "documents").schema
+    one, two, three = "a b c d e f g", "h i j k l m n", "o p q r s t u"
+    rows = [
+        (1, one), (2, one), (2, two), (None, one), (None, three), (None, three), (None, " "), (None, " "), (None, None), (4, "v w x"), (5, "v w x"),
+    ]
+    docs = spark.createDataFrame([(k, text, "en", "s", len(text or "")) for k, text in rows], schema)
+    made = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    assert made.schema.simpleString() == docs.schema.simpleString()
+    wanted = [(1, one), (2, two), (None, three), (None, " "), (None, " "), (None, None), (4, "v w x")]
+    assert sorted(((r.doc_id, r.text) for r in made.collect()), key=str) == sorted(wanted, key=str)
