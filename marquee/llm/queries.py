@@ -18,12 +18,14 @@ from marquee.llm import (
     packing,
     pii,
     sharding,
+    suffix_dedup,
     token_counts,
 )
 
 #: Folder of the tokenizer files; ``None`` for those of the installed package.
 TOKENIZERS: str | None = None
 TOKEN_LIMIT, SEQUENCE_TOKENS, END_ID, SHARDS = 4096, 1024, 2, 40
+REPEATED_BYTES = 400
 
 
 def tokenizer(name: str) -> str:
@@ -102,6 +104,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licences(spark, read(spark, sf_dir, "documents"))
 
 
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(spark, read(spark, sf_dir, "documents"), REPEATED_BYTES)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -115,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_language_id,
         op10_license_scan,
+        op12_suffix_array_dedup,
     )
 }
 
