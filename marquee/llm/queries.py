@@ -18,6 +18,7 @@ from marquee.llm import (
     packing,
     pii,
     sharding,
+    spelling,
     suffix_dedup,
     token_counts,
 )
@@ -25,7 +26,7 @@ from marquee.llm import (
 #: Folder of the tokenizer files; ``None`` for those of the installed package.
 TOKENIZERS: str | None = None
 TOKEN_LIMIT, SEQUENCE_TOKENS, END_ID, SHARDS = 4096, 1024, 2, 40
-REPEATED_BYTES = 400
+REPEATED_BYTES, SLIPS = 400, 199
 
 
 def tokenizer(name: str) -> str:
@@ -104,6 +105,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licences(spark, read(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spark, read(spark, sf_dir, "documents"), slips=SLIPS)
+
+
 def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(spark, read(spark, sf_dir, "documents"), REPEATED_BYTES)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -122,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_language_id,
         op10_license_scan,
+        op11_spelling_variants,
         op12_suffix_array_dedup,
     )
 }
