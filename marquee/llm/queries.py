@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import (
     ann,
+    conversation_repair,
     decontamination,
     html_extraction,
     jaccard_join,
@@ -114,6 +115,11 @@ def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = read(spark, sf_dir, "conversations")
+    return conversation_repair.repair(spark, conversation_repair.damaged(whole), whole)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -129,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_license_scan,
         op11_spelling_variants,
         op12_suffix_array_dedup,
+        op13_conversation_repair,
     )
 }
 

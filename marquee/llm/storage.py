@@ -19,10 +19,10 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm"
 
 
-def stored(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+def stored(spark: SparkSession, frame: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """The frame as written to and read back from a new folder."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.options(**(options or {})).parquet(path)
     if not _WRITTEN:
         atexit.register(drop_all, spark)
     _WRITTEN.add(path)
