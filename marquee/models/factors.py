@@ -1,12 +1,22 @@
-"""Collaborative scores by matrix factorisation."""
+"""Collaborative scores by matrix factorisation, and recommendations of what is not rated yet."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from math import ceil
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marquee.functions.columns import dot, settled
 from marquee.operators.ids import dense_ids
+from marquee.operators.skew import spread_join
+from marquee.sources.catalogue import join_path
 
 
 def one_user_scores(rated: DataFrame, item: str, rating: str, reg: float = 0.1) -> DataFrame:
@@ -27,7 +37,49 @@ def one_user_scores(rated: DataFrame, item: str, rating: str, reg: float = 0.1)
     return known.select(item, (F.col(rating).cast("double") * F.coalesce(kept, F.lit(0.0))).alias("cf_score"))
 
 
-def factor_scores(
+@dataclass(frozen=True)
+class Factors:
+    """Fitted vectors by the original keys: ``users`` and ``items`` with the key and ``vector``, and the rated pairs ``known``."""
+
+    users: DataFrame
+    items: DataFrame
+    known: DataFrame
+    user: str
+    item: str
+
+    def save(self, path: str) -> "Factors":
+        """Writes the three tables below ``path`` and returns the model read back from there."""
+        for name in ("users", "items", "known"):
+            getattr(self, name).write.mode("overwrite").parquet(join_path(path, name))
+        return load_factors(self.users.sparkSession, path, self.user, self.item)
+
+    def scores(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose user and item both have a vector, with ``cf_score``."""
+        left = self.users.withColumnRenamed("vector", "_user")
+        right = self.items.withColumnRenamed("vector", "_item")
+        both = spread_join(spread_join(pairs, left, self.user, [self.item]), right, self.item, [self.user])
+        return both.withColumn("cf_score", dot(F.col("_user"), F.col("_item"))).drop("_user", "_item")
+
+    def recommend(self, count: int = 10, asked: DataFrame | None = None, block_rows: int = 4096) -> DataFrame:
+        """The ``count`` items of the highest score for each user that the user has not rated; see :func:`best_unseen`.
+
+        ``asked`` lists the users to serve, by default all.
+        """
+        users = self.users if asked is None else self.users.join(asked.select(self.user).distinct(), self.user)
+        return best_unseen(users, self.items, self.known, self.user, self.item, count, block_rows)
+
+    def audience(self, count: int = 10, asked: DataFrame | None = None, block_rows: int = 4096) -> DataFrame:
+        """The ``count`` users of the highest score for each item who have not rated it."""
+        items = self.items if asked is None else self.items.join(asked.select(self.item).distinct(), self.item)
+        return best_unseen(items, self.users, self.known, self.item, self.user, count, block_rows)
+
+
+def load_factors(spark: SparkSession, path: str, user: str, item: str) -> Factors:
+    """A model that :meth:`Factors.save` has written, in any session."""
+    return Factors(*(spark.read.parquet(join_path(path, name)) for name in ("users", "items", "known")), user, item)
+
+
+def fit_factors(
     rated: DataFrame,
     user: str,
     item: str,
@@ -37,16 +89,13 @@ def factor_scores(
     reg: float = 0.1,
     seed: int = 42,
     blocks: int | None = None,
-) -> DataFrame:
-    """Non-negative ALS for many users: the score of each rated (user, item)."""
-    known = rated.where(F.col(rating).isNotNull()).select(user, item, rating)
+) -> Factors:
+    """Non-negative ALS for many users.  Rows without user, item or rating take no part."""
+    known = rated.select(user, item, rating).dropna()
     if blocks is None:
         blocks = int(rated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (
-        known.join(dense_ids(known, user, "_user"), user)
-        .join(dense_ids(known, item, "_item"), item)
-        .withColumn("_rating", F.col(rating).cast("float"))
-    )
+    users, items = dense_ids(known, user, "_user"), dense_ids(known, item, "_item")
+    numbered = known.join(users, user).join(items, item).withColumn("_rating", F.col(rating).cast("float"))
     model = (
         ALS(
             userCol="_user",
@@ -62,4 +111,126 @@ def factor_scores(
         .setNumBlocks(blocks)
         .fit(numbered)
     )
-    return model.transform(numbered).select(user, item, F.col("prediction").cast("double").alias("cf_score"))
+
+    def named(ids: DataFrame, key: str, fitted: DataFrame) -> DataFrame:
+        both = ids.join(fitted.withColumnRenamed("id", ids.columns[1]), ids.columns[1])
+        return both.select(key, F.transform("features", lambda x: x.cast("double")).alias("vector"))
+
+    return Factors(
+        named(users, user, model.userFactors), named(items, item, model.itemFactors), known.select(user, item).distinct(), user, item
+    )
+
+
+def factor_scores(
+    rated: DataFrame,
+    user: str,
+    item: str,
+    rating: str,
+    rank: int = 10,
+    iterations: int = 10,
+    reg: float = 0.1,
+    seed: int = 42,
+    blocks: int | None = None,
+) -> DataFrame:
+    """Non-negative ALS for many users: the score of each rated (user, item)."""
+    fitted = fit_factors(rated, user, item, rating, rank, iterations, reg, seed, blocks)
+    return fitted.scores(rated.where(F.col(rating).isNotNull()).select(user, item))
+
+
+#: Scores that a task holds at once.
+CELLS_AT_ONCE = 4_000_000
+
+
+def _best_of_block(user: str, item: str, count: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The best unseen items of a block for each user of a block.  All is local, so that tasks need not import this package."""
+    cells = CELLS_AT_ONCE
+
+    def best(vectors: pa.Table, seen: pa.Table) -> pa.Table:
+        asking = vectors.filter(vectors["_asks"])
+        offered = vectors.filter(pc.invert(vectors["_asks"])).sort_by("_item")
+        users, items = asking["_user"].combine_chunks(), offered["_item"].combine_chunks()
+        found = pa.table({user: users[:0], item: items[:0], "cf_score": pa.array([], pa.float64())})
+        if not len(users) or not len(items):
+            return found
+
+        def matrix(table: pa.Table) -> np.ndarray:
+            return np.asarray(table["vector"].combine_chunks().flatten()).reshape(table.num_rows, -1)
+
+        left, right = matrix(asking), matrix(offered).T
+        row, column = (np.asarray(pc.index_in(seen[c], value_set=v).fill_null(-1)) for c, v in (("_user", users), ("_item", items)))
+        there = (row >= 0) & (column >= 0)
+        order = np.argsort(row[there], kind="stable")
+        row, column = row[there][order], column[there][order]
+        kept = min(count, len(items))
+        step = max(1, cells // len(items))
+        parts = []
+        for begin in range(0, len(users), step):
+            scores = left[begin : begin + step] @ right
+            at = slice(*np.searchsorted(row, (begin, begin + len(scores))))
+            scores[row[at] - begin, column[at]] = -np.inf
+            # Items are in order, so that a stable sort settles ties.
+            best_first = np.argsort(-scores.round(9), axis=1, kind="stable")[:, :kept]
+            value = np.take_along_axis(scores, best_first, axis=1)
+            rows, places = np.nonzero(np.isfinite(value))
+            parts.append(
+                pa.table(
+                    {
+                        user: users.take(pa.array(rows + begin)),
+                        item: items.take(pa.array(best_first[rows, places])),
+                        "cf_score": pa.array(value[rows, places]),
+                    }
+                )
+            )
+        return pa.concat_tables(parts)
+
+    return best
+
+
+def best_unseen(
+    users: DataFrame, items: DataFrame, seen: DataFrame, user: str, item: str, count: int = 10, block_rows: int = 4096
+) -> DataFrame:
+    """``user, item, cf_score, rank``: for each user the ``count`` items of the largest product of vectors, ties by item.
+
+    ``users`` and ``items`` have their key and ``vector``, keys unique, vectors of one size; pairs in ``seen`` are left out.  Users and items
+    are dealt into blocks of about ``block_rows``; each pair of blocks is a matrix product in one task with the seen pairs of
+    these blocks, so that a user or an item in very many pairs is spread, and only the best leave a task.  All scores
+    are computed: the work grows with users times items.  Without users or items there are no rows.
+    """
+    session = users.sparkSession
+    tasks = int(session.conf.get("spark.sql.shuffle.partitions"))
+    rows, columns = (max(1, ceil(f.count() / block_rows)) for f in (users, items))
+    if rows * columns < tasks:
+        # Enough pairs of blocks for all tasks.
+        rows = max(rows, ceil(tasks / columns))
+
+    def dealt(name: str, blocks: int) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(blocks)).cast("int")
+
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    user_kind, item_kind = users.schema[user].dataType, items.schema[item].dataType
+    asking = users.where(F.col(user).isNotNull()).select(
+        F.lit(True).alias("_asks"), F.col(user).alias("_user"), F.lit(None).cast(item_kind).alias("_item"), "vector",
+        dealt(user, rows).alias("_row"), every(columns).alias("_column"),
+    )
+    offered = items.where(F.col(item).isNotNull()).select(
+        F.lit(False).alias("_asks"), F.lit(None).cast(user_kind).alias("_user"), F.col(item).alias("_item"), "vector",
+        every(rows).alias("_row"), dealt(item, columns).alias("_column"),
+    )
+    pairs = seen.select(
+        F.col(user).cast(user_kind).alias("_user"), F.col(item).cast(item_kind).alias("_item"),
+        dealt(user, rows).alias("_row"), dealt(item, columns).alias("_column"),
+    )
+    block = ["_row", "_column"]
+    scored = (
+        asking.unionByName(offered)
+        .groupBy(*block)
+        .cogroup(pairs.groupBy(*block))
+        .applyInArrow(
+            _best_of_block(user, item, count),
+            f"`{user}` {user_kind.simpleString()}, `{item}` {item_kind.simpleString()}, cf_score double",
+        )
+    )
+    ranking = Window.partitionBy(user).orderBy(F.desc(settled(F.col("cf_score"))), item)
+    return scored.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= count)

@@ -1,10 +1,11 @@
-"""Genre combinations as categories: index and one-hot vector."""
+"""Genre combinations as categories (index and one-hot vector), and single genres as marks (multi-hot vector)."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import CountVectorizerModel, OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 INDEX, VECTOR = "genreIndex", "genreVec"
 
@@ -29,3 +30,19 @@ def fit_genre_features(frame: DataFrame) -> PipelineModel:
 
 def prepare_features(frame: DataFrame) -> DataFrame:
     return fit_genre_features(frame).transform(frame)
+
+
+def fit_vocabulary(frame: DataFrame, terms: str, most: int = 10_000) -> list[str]:
+    """Distinct elements of the array column ``terms``, those of most rows first, ties by name; ``most`` at the most.
+
+    Counted over all rows; the list is what a model holds, so its length is bounded.  Nulls and empty terms are left out.
+    """
+    listed = frame.select(F.explode(F.array_distinct(terms)).alias("term")).where("term <> ''")
+    counts = listed.groupBy("term").agg(F.count("*").alias("n"))
+    return [row["term"] for row in counts.orderBy(F.desc("n"), "term").limit(most).collect()]
+
+
+def multi_hot(vocabulary: list[str], terms: str, output: str) -> CountVectorizerModel:
+    """A stage that marks each term of the array column; terms not in the vocabulary leave no mark."""
+    model = CountVectorizerModel.from_vocabulary(vocabulary or [""], inputCol=terms, outputCol=output)
+    return model.setBinary(True)

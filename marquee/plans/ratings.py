@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import rating_band, settled
+from marquee.operators.density import density_curve
 from marquee.operators.distribution import box_plot, histogram
+from marquee.operators.quantiles import sketched_box_plot
 from marquee.operators.shaping import eligible, relevant_titles, summarise, top_rows, with_ratings
 from marquee.schemas import RELEVANT_TYPES
 
@@ -71,6 +73,20 @@ def rating_boxplot_by_title_type(
     return box_plot(rated_relevant(titles, ratings, types), "titleType", "averageRating")
 
 
+def rating_density(
+    titles: DataFrame, ratings: DataFrame, points: int = 200, types: Iterable[str] = RELEVANT_TYPES
+) -> DataFrame:
+    """Smooth curve over the ratings that the histogram counts."""
+    return density_curve(rated_relevant(titles, ratings, types), "averageRating", points)
+
+
+def rating_boxplot_sketched(
+    titles: DataFrame, ratings: DataFrame, types: Iterable[str] = RELEVANT_TYPES
+) -> DataFrame:
+    """The box plot from mergeable sketches, for ratings too many and too fine to count."""
+    return sketched_box_plot(rated_relevant(titles, ratings, types), "titleType", "averageRating")
+
+
 def rating_variance_by_title_type(titles: DataFrame, ratings: DataFrame) -> DataFrame:
     """Population variance and mean per type over all rated titles that are not adult."""
     typed = eligible(titles).where(F.col("titleType").isNotNull())

@@ -7,7 +7,7 @@ thresholds use values rounded to nine digits, as the analyses do.
 from __future__ import annotations
 
 from marquee.schemas import TABLES
-from marquee.starschema.queries import HIGH_RATING, HIGH_TITLES, POPULARITY, STAR_KEYS
+from marquee.starschema.queries import HASHING, HIGH_RATING, HIGH_TITLES, POPULARITY, STAR_KEYS
 from marquee.starschema.views import CATEGORIES, GENRES, TITLE_TYPES
 
 
@@ -517,3 +517,90 @@ oracle(
               ORDER BY round(avg("averageRating"), 9) DESC, nconst LIMIT 10) USING (nconst)
         GROUP BY nconst, avg_title_rating""",
 )
+
+_REASON = """CASE WHEN key % 97 = 0 THEN 'too few fields' WHEN key % 89 = 0 THEN 'too many fields'
+                  WHEN key % 29 = 0 THEN 'runtimeMinutes: not a number' ELSE 'accepted' END"""
+oracle(
+    "ingest_rejects",
+    f"""SELECT reason, count(*) AS num_rows, cast(sum(key) AS bigint) AS key_sum
+        FROM (SELECT key, {_REASON} AS reason FROM (SELECT cast(tconst AS bigint) AS key FROM titles)) GROUP BY reason""",
+)
+oracle(
+    "rating_density",
+    f"""SELECT {six("x")}, {six("sum(n * exp(-power((x - value) / width, 2) / 2)) / any_value(rows * width * sqrt(2 * pi()))", "density")}
+        FROM (SELECT low + place * (high - low) / 199 AS x, rows, width
+              FROM (SELECT min("averageRating") AS low, max("averageRating") AS high, count("averageRating") AS rows,
+                           stddev_samp("averageRating") * power(count("averageRating"), -0.2e0) AS width FROM relevant)
+                   CROSS JOIN (SELECT range AS place FROM range(200)))
+             CROSS JOIN (SELECT "averageRating" AS value, count(*) AS n FROM relevant
+                         WHERE "averageRating" IS NOT NULL GROUP BY "averageRating")
+        GROUP BY x""",
+)
+ORACLE["price_quantile_sketches"] = "SELECT l_returnflag, count(*) AS n, true AS within_error FROM lineitem GROUP BY l_returnflag"
+oracle(
+    "rating_boxplot_sketched",
+    """SELECT "titleType", count(*) AS n, true AS in_order, true AS few_outliers
+       FROM relevant WHERE "averageRating" IS NOT NULL GROUP BY "titleType" """,
+)
+ORACLE["embedding_correlation"] = f"""
+    WITH cells AS (SELECT vec_id, cast(unnest(range(len(embedding))) AS integer) AS dim, cast(unnest(embedding) AS double) AS value FROM embeddings)
+    SELECT x.dim AS dim_x, y.dim AS dim_y, {six("corr(x.value, y.value)", "corr")}
+    FROM cells x JOIN cells y USING (vec_id) GROUP BY x.dim, y.dim"""
+oracle(
+    "genre_multi_hot",
+    """SELECT tconst, string_agg(CASE WHEN list_contains(string_split(coalesce(genres, ''), ','), genre) THEN '1' ELSE '0' END, ',' ORDER BY place) AS marks
+       FROM titles CROSS JOIN (
+           SELECT genre, row_number() OVER (ORDER BY count(*) DESC, genre) AS place
+           FROM (SELECT unnest(string_split(genres, ',')) AS genre FROM titles WHERE genres IS NOT NULL) GROUP BY genre)
+       GROUP BY tconst""",
+)
+oracle(
+    "votes_prediction",
+    f"""SELECT count(*) AS titles, count(*) AS same_after_loading, cast(2 AS bigint) AS trials, true AS beats_the_mean
+        FROM rated WHERE {_SLOT} >= 80""",
+)
+oracle(
+    "votes_prediction_unseen",
+    "SELECT count(*) AS titles, count(*) AS scored, true AS beats_the_mean FROM rated WHERE genres LIKE '%Drama%'",
+)
+_PLANES = HASHING.tables * HASHING.planes
+# Planes through the mean, signatures per table, and blocks of their order, as text.
+_HASHED = f"""
+    WITH size AS (SELECT len(embedding) AS size FROM embeddings LIMIT 1),
+    centre AS (SELECT list(value ORDER BY dim) AS centre FROM (
+        SELECT dim, avg(value) AS value FROM (
+            SELECT unnest(range(len(embedding))) AS dim, cast(unnest(embedding) AS double) AS value FROM embeddings) GROUP BY dim)),
+    normals AS (SELECT plane, list(value - floor(value) - 0.5e0 ORDER BY dim) AS normal FROM (
+        SELECT p.range AS plane, d.range AS dim, sin(p.range * 977 + d.range * 131 + 7) * 43758.5453e0 AS value
+        FROM range({_PLANES}) p CROSS JOIN size, range(size) d) GROUP BY plane),
+    vectors AS (SELECT vec_id, list_transform(list_zip(cast(embedding AS double[]), centre), lambda z: z[1] - z[2]) AS vector FROM embeddings, centre),
+    signed AS (SELECT vec_id, plane // {HASHING.planes} AS hash_table,
+        sum(CASE WHEN list_dot_product(vector, normal) > 0 THEN 1 << ({HASHING.planes} - 1 - plane % {HASHING.planes}) ELSE 0 END) AS signature
+        FROM vectors, normals GROUP BY vec_id, plane // {HASHING.planes}),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY hash_table ORDER BY signature, vec_id) - 1 AS place FROM signed),
+    blocks AS (SELECT vec_id, hash_table, shift, (place + shift) // {HASHING.block} AS block
+        FROM ranked, (VALUES (0), ({HASHING.block // 2})) s(shift)),
+    met AS (SELECT a.vec_id, b.vec_id AS neighbour FROM blocks a JOIN blocks b USING (hash_table, shift, block) WHERE a.vec_id <> b.vec_id),
+    scored AS (SELECT m.vec_id, m.neighbour, {_COSINE} AS similarity
+        FROM (SELECT DISTINCT * FROM met) m JOIN embeddings a ON a.vec_id = m.vec_id JOIN embeddings b ON b.vec_id = m.neighbour),
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(similarity, 9) DESC, neighbour) AS place FROM scored)
+        WHERE place <= 10)"""
+ORACLE["similar_items_lsh"] = f"""{_HASHED}
+    SELECT vec_id, neighbour, {six("similarity")}, cast(place AS integer) AS rank FROM best"""
+ORACLE["similar_items_lsh_recall"] = f"""{_HASHED},
+    exact AS (SELECT vec_id, neighbour FROM (
+        SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(similarity, 9) DESC, neighbour) AS place
+        FROM (SELECT a.vec_id, b.vec_id AS neighbour, {_COSINE} AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id))
+        WHERE place <= 10)
+    SELECT count(*) AS neighbours, {six("count(f.neighbour) / cast(count(*) AS double)", "recall")}, true AS enough,
+           (SELECT count(*) // 2 FROM met) AS compared, (SELECT count(*) * (count(*) - 1) // 2 FROM embeddings) AS all_pairs
+    FROM exact e LEFT JOIN best f ON e.vec_id = f.vec_id AND e.neighbour = f.neighbour"""
+_BOUGHT = "SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+ORACLE["als_recommendations"] = f"""
+    SELECT o_custkey, parts, 1 AS first_rank, cast(parts AS integer) AS last_rank, cast(0 AS bigint) AS rated_before, true AS in_order
+    FROM (SELECT o_custkey, least(10, (SELECT count(DISTINCT l_partkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) - count(*)) AS parts
+          FROM ({_BOUGHT}) GROUP BY o_custkey) WHERE parts > 0"""
+ORACLE["als_audience"] = f"""
+    SELECT l_partkey, customers, cast(customers AS integer) AS last_rank, cast(0 AS bigint) AS rated_before
+    FROM (SELECT l_partkey, least(5, (SELECT count(DISTINCT o_custkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) - count(*)) AS customers
+          FROM ({_BOUGHT}) WHERE l_partkey % 100 = 0 GROUP BY l_partkey) WHERE customers > 0"""

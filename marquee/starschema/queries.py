@@ -8,15 +8,15 @@ from multiprocessing.pool import ThreadPool
 from operator import add
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import settled
-from marquee.models import embeddings, factors, features, predictor, recommender
-from marquee.operators import neighbours, shaping
+from marquee.models import embeddings, factors, features, predictor, recommender, selection
+from marquee.operators import gram, lsh, neighbours, quantiles, shaping
 from marquee.plans import crew, genres, places, ratings, runtime, trends
 from marquee.schemas import TABLES
-from marquee.sources import catalogue, formats, ingest
+from marquee.sources import catalogue, formats, ingest, rejects
 from marquee.sources.scratch import scratch_folder
 from marquee.starschema.views import StarCatalogue
 
@@ -106,6 +106,23 @@ def ingest_tsv_to_parquet(star: StarCatalogue) -> DataFrame:
     return catalogue.Catalogue(star.spark, base, ingested=True).ratings()
 
 
+@query
+def ingest_rejects(star: StarCatalogue) -> DataFrame:
+    """Titles as text without a header, some lines cut short, too long or with bad numbers: rows per reason, and accepted ones."""
+    base = scratch_folder(star.spark, "rejects")
+    raw = star.raw("titles")
+    key = F.col("tconst").cast("long")
+    short = F.concat_ws("\t", *raw.columns[:-2])
+    whole = F.concat_ws("\t", *raw.columns)
+    line = F.when(key % 97 == 0, short).when(key % 89 == 0, F.concat_ws("\t", whole, F.lit("extra"))).otherwise(whole)
+    raw.select(line.alias("value")).write.text(catalogue.join_path(base, TABLES["titles"].text_file), compression="gzip")
+    accepted, beside = rejects.ingest_checked(star.spark, base, base, "titles", raw.columns)
+    fitting = catalogue.read_columnar(star.spark, accepted).select(F.lit("accepted").alias("reason"), F.col("tconst").alias("_key"))
+    others = catalogue.read_columnar(star.spark, beside).select("reason", F.get(F.split("line", "\t"), F.lit(0)).alias("_key"))
+    counts = fitting.unionByName(others).groupBy("reason")
+    return counts.agg(F.count("*").alias("num_rows"), F.sum(F.col("_key").cast("long")).alias("key_sum"))
+
+
 def _filled(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows of each table, and how many of all its cells are not null."""
     parts = [
@@ -372,6 +389,36 @@ def rating_variance_by_title_type(star: StarCatalogue) -> DataFrame:
 # Runtime, places, time
 
 
+@query
+def rating_density(star: StarCatalogue) -> DataFrame:
+    return ratings.rating_density(star.titles, star.ratings)
+
+
+@query
+def price_quantile_sketches(star: StarCatalogue) -> DataFrame:
+    """Sketches per flag and status, merged per flag: rows, and whether the quartiles' ranks are within the stated error."""
+    lines = star.star("lineitem")
+    fine = quantiles.quantile_sketches(lines, ["l_returnflag", "l_linestatus"], "l_extendedprice")
+    found = quantiles.sketched_quantiles(quantiles.merged_sketches(fine, ["l_returnflag"]), ["l_returnflag"])
+    gaps = quantiles.rank_gap(lines, found, "l_returnflag", "l_extendedprice", [0.25, 0.5, 0.75])
+    # The stated error holds in 99 of 100 cases; three times it, always.
+    close = (F.col("gap") <= 3 * quantiles.rank_error()).alias("within_error")
+    return found.join(gaps, "l_returnflag").select("l_returnflag", "n", close)
+
+
+@query
+def rating_boxplot_sketched(star: StarCatalogue) -> DataFrame:
+    """Box plots from sketches: rows per type, and whether whiskers and outliers fit the quartiles."""
+    boxes = ratings.rating_boxplot_sketched(star.titles, star.ratings)
+    inside = (F.col("whisker_low") <= F.col("q1")) & (F.col("q1") <= F.col("median")) & (F.col("q3") <= F.col("whisker_high"))
+    return boxes.select("titleType", "n", inside.alias("in_order"), (F.col("n_outliers") <= F.col("n") / 4).alias("few_outliers"))
+
+
+@query
+def embedding_correlation(star: StarCatalogue) -> DataFrame:
+    return gram.vector_correlations(star.star("embeddings"), "embedding")
+
+
 @query
 def runtime_rating_pairs(star: StarCatalogue) -> DataFrame:
     return runtime.runtime_rating_pairs(star.titles, star.ratings)
@@ -494,6 +541,58 @@ def genre_one_hot(star: StarCatalogue) -> DataFrame:
     )
 
 
+@query
+def genre_multi_hot(star: StarCatalogue) -> DataFrame:
+    """A mark per genre, most frequent genre first; titles without genres have none."""
+    terms = star.titles.select("tconst", F.coalesce(F.split("genres", ","), F.array(F.lit(""))).alias("terms"))
+    marked = features.multi_hot(features.fit_vocabulary(terms, "terms"), "terms", "marks").transform(terms)
+    cells = F.transform(vector_to_array("marks"), lambda x: x.cast("int").cast("string"))
+    return marked.select("tconst", F.array_join(cells, ",").alias("marks"))
+
+
+def _with_credits(star: StarCatalogue) -> DataFrame:
+    """Rated titles with the number of their credits."""
+    credits = star.principals.groupBy("tconst").agg(F.count("*").alias("credits"))
+    rated = shaping.with_ratings(star.titles, star.ratings, "inner")
+    return rated.join(credits, "tconst").select("tconst", "genres", "runtimeMinutes", "credits", "numVotes")
+
+
+@query
+def votes_prediction(star: StarCatalogue) -> DataFrame:
+    """A forest chosen by cross-validation, saved and loaded again: does it err at most 0.75 times as much as the mean does?"""
+    numbers = ["credits", "runtimeMinutes"]
+    train, test = predictor.split_by_key(_with_credits(star))
+    chosen = selection.TitleForest("numVotes", numbers, trees=[10], depths=[2, 5]).fit(train)
+    path = scratch_folder(star.spark, "forest")
+    chosen.save(path)
+    loaded = selection.TitleForest.load(path, "numVotes", numbers)
+    before = chosen.predict(test).select("tconst", F.col("prediction").alias("before"))
+    both = loaded.predict(test).join(before, "tconst")
+    same = F.count_if(F.col("prediction") == F.col("before")).alias("same_after_loading")
+    error = F.sqrt(F.avg(F.pow(F.col("numVotes") - F.col("prediction"), F.lit(2.0))))
+    return both.agg(
+        F.count("*").alias("titles"),
+        same,
+        F.lit(len(chosen.trials(star.spark).collect())).cast("long").alias("trials"),
+        (error <= 0.75 * F.stddev_pop("numVotes")).alias("beats_the_mean"),
+    )
+
+
+@query
+def votes_prediction_unseen(star: StarCatalogue) -> DataFrame:
+    """Trained without dramas: titles of combinations never seen still get predictions from their single genres and numbers."""
+    whole = _with_credits(star)
+    drama = F.coalesce(F.col("genres").contains("Drama"), F.lit(False))
+    fitted = selection.TitleForest("numVotes", ["credits"], trees=[10], depths=[5], folds=2).fit(whole.where(~drama))
+    predicted = fitted.predict(whole.where(drama))
+    error = F.sqrt(F.avg(F.pow(F.col("numVotes") - F.col("prediction"), F.lit(2.0))))
+    return predicted.agg(
+        F.count("*").alias("titles"),
+        F.count("prediction").alias("scored"),
+        (error <= 0.75 * F.stddev_pop("numVotes")).alias("beats_the_mean"),
+    )
+
+
 @query
 def rating_prediction(star: StarCatalogue) -> DataFrame:
     rated = shaping.with_ratings(star.titles, star.ratings, "inner").select("tconst", "genres", "averageRating")
@@ -541,6 +640,26 @@ def similar_items_topk(star: StarCatalogue) -> DataFrame:
     return neighbours.nearest_items(star.star("embeddings"), "vec_id", "embedding")
 
 
+#: Tables of planes, planes of each and items of a block, for the given vectors, which have no clusters.
+HASHING = lsh.Hashing(tables=16, planes=16, block=128)
+
+
+@query
+def similar_items_lsh(star: StarCatalogue) -> DataFrame:
+    return lsh.approximate_neighbours(star.star("embeddings"), "vec_id", "embedding", how=HASHING)
+
+
+@query
+def similar_items_lsh_recall(star: StarCatalogue) -> DataFrame:
+    """What share of the exact neighbours the approximate ones hold, and how many products that takes."""
+    items = star.star("embeddings")
+    found = lsh.approximate_neighbours(items, "vec_id", "embedding", how=HASHING)
+    exact = neighbours.nearest_items(items, "vec_id", "embedding")
+    # One row on both sides.
+    both = lsh.recall(found, exact, "vec_id").crossJoin(F.broadcast(lsh.compared_pairs(items, "vec_id", "embedding", HASHING)))
+    return both.select("neighbours", "recall", (F.col("recall") >= 0.9).alias("enough"), "compared", "all_pairs")
+
+
 @query
 def similar_titles_topk(star: StarCatalogue) -> DataFrame:
     return recommender.TitleRecommender().fit(star.titles, star.ratings).similar_titles()
@@ -566,6 +685,43 @@ def als_factor_scores(star: StarCatalogue) -> DataFrame:
     )
 
 
+def _part_ratings(star: StarCatalogue) -> DataFrame:
+    lines = star.star("lineitem").join(star.star("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.groupBy("o_custkey", "l_partkey").agg(F.avg("l_quantity").cast("double").alias("rating"))
+
+
+@query
+def als_recommendations(star: StarCatalogue) -> DataFrame:
+    """Per customer, ten parts of the best score: how many, which ranks, how many of them were rated before, scores in order."""
+    rated = _part_ratings(star)
+    fitted = factors.fit_factors(rated, "o_custkey", "l_partkey", "rating").save(scratch_folder(star.spark, "factors"))
+    best = fitted.recommend(10)
+    before = rated.select("o_custkey", "l_partkey", F.lit(1).alias("before"))
+    marked = best.join(before, ["o_custkey", "l_partkey"], "left")
+    later = F.lead("cf_score").over(Window.partitionBy("o_custkey").orderBy("rank"))
+    return marked.withColumn("falls", F.coalesce(settled(F.col("cf_score")) >= settled(later), F.lit(True))).groupBy("o_custkey").agg(
+        F.count_distinct("l_partkey").alias("parts"),
+        F.min("rank").alias("first_rank"),
+        F.max("rank").alias("last_rank"),
+        F.count("before").alias("rated_before"),
+        F.bool_and("falls").alias("in_order"),
+    )
+
+
+@query
+def als_audience(star: StarCatalogue) -> DataFrame:
+    """Per part of every hundredth number, five customers who have not bought it."""
+    rated = _part_ratings(star)
+    fitted = factors.fit_factors(rated, "o_custkey", "l_partkey", "rating", iterations=3)
+    asked = star.star("part").where("p_partkey % 100 = 0").select(F.col("p_partkey").alias("l_partkey"))
+    best = fitted.audience(5, asked)
+    before = rated.select("o_custkey", "l_partkey", F.lit(1).alias("before"))
+    marked = best.join(before, ["o_custkey", "l_partkey"], "left")
+    return marked.groupBy("l_partkey").agg(
+        F.count_distinct("o_custkey").alias("customers"), F.max("rank").alias("last_rank"), F.count("before").alias("rated_before")
+    )
+
+
 @query
 def hybrid_recommend(star: StarCatalogue) -> DataFrame:
     items = star.star("embeddings")

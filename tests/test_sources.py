@@ -1,10 +1,12 @@
+import gzip
+
 import pytest
 from conftest import rows
 from fixture_tables import COLUMNS, N, ROWS
 
 from marquee.operators.shaping import normalise
 from marquee.schemas import TABLES
-from marquee.sources import catalogue, formats, ingest
+from marquee.sources import catalogue, formats, ingest, rejects
 from marquee.sources.scratch import scratch_folder
 
 
@@ -136,3 +138,50 @@ def test_scratch_folder_is_below_the_shared_one(spark):
     first, second = scratch_folder(spark, "a"), scratch_folder(spark, "a")
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_rejects_and_accepted_rows_are_all_rows(spark, tmp_path):
+    columns = "tconst\tprimaryTitle\ttitleType\tisAdult\tstartYear\truntimeMinutes\tgenres"
+    lines = [
+        "t1\tAlpha\tmovie\t0\t2000\t90\tDrama",
+        "t2\tBeta\tmovie\t0\t\\N\t\\N\t\\N",
+        "t3\tshort line",
+        "t4\tGamma\tmovie\t0\t2000\t90\tDrama\tmore",
+        "t5\tDelta\tmovie\t0\tabcd\tn/a\tDrama",
+        "\\N\tNobody\tmovie\t0\t2000\t90\tDrama",
+        't6\tWith "quotes, and\tmovie\t1\t1999\t5\tA,B',
+        "",
+    ]
+    base = tmp_path / "text"
+    base.mkdir()
+    with gzip.open(base / "title.basics.tsv.gz", "wt") as target:
+        target.write("\n".join([columns, *lines]) + "\n")
+    found = rejects.read_checked(spark, str(base / "title.basics.tsv.gz"), "titles")
+    assert found.accepted.columns == columns.split("\t")
+    assert sorted(rows(found.accepted, "tconst", "startYear", "runtimeMinutes", "genres")) == [
+        ("t1", 2000, 90, "Drama"), ("t2", None, None, None), ("t6", 1999, 5, "A,B"),
+    ]
+    assert found.rejected.columns == rejects.REJECT_COLUMNS
+    assert sorted(rows(found.rejected, "reason", "line")) == sorted(
+        [
+            ("too few fields", lines[2]),
+            ("too many fields", lines[3]),
+            ("startYear: not a number; runtimeMinutes: not a number", lines[4]),
+            ("tconst: missing", lines[5]),
+        ]
+    )
+    assert {r.file for r in found.rejected.collect()} == {"title.basics.tsv.gz"}
+    target, beside = rejects.ingest_checked(spark, str(base), str(tmp_path / "typed"), "titles")
+    assert spark.read.parquet(target).count() == 3 and spark.read.parquet(beside).count() == 4
+    with pytest.raises(ValueError):
+        rejects.read_checked(spark, str(base / "title.basics.tsv.gz"), "ratings")
+
+
+def test_rejects_of_files_without_rows_or_header(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("tconst\taverageRating\tnumVotes\n")
+    none = rejects.read_checked(spark, str(tmp_path / "a.tsv"), "ratings")
+    assert none.accepted.count() == 0 and none.rejected.count() == 0
+    (tmp_path / "b.tsv").write_text("t1\t8.5\t10\nt2\t8.x\t1\n")
+    found = rejects.read_checked(spark, str(tmp_path / "b.tsv"), "ratings", ["tconst", "averageRating", "numVotes"])
+    assert rows(found.accepted) == [("t1", 8.5, 10)]
+    assert rows(found.rejected, "reason", "line") == [("averageRating: not a number", "t2\t8.x\t1")]
