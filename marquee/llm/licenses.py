@@ -101,9 +101,12 @@ TEMPLATES = {
 FEATURES, COPIES, NEGATIVES = 1 << 12, 60, 4000
 
 
+_LETTER = r"[\p{L}\p{N}]"
+
+
 def words_of(text: Column) -> Column:
     """The words of a paragraph in lower case: letters and digits of any script."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.regexp_extract_all(F.lower(text), F.lit(f"{_LETTER}+"), 0)
 
 
 def pairs_of(words: Column) -> Column:
@@ -117,7 +120,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     """Every paragraph (a line that holds a word) of ``text`` with its ``place`` from 0 and its ``words``."""
     kept = [c for c in docs.columns if c != "text"]
     lines = docs.select(*kept, F.posexplode(F.split("text", r"\R")).alias("place", "line"))
-    return lines.withColumn("words", words_of(F.col("line"))).where(F.size("words") > 0)
+    return lines.where(F.col("line").rlike(_LETTER)).withColumn("words", words_of(F.col("line")))
 
 
 #: Words that say little about a notice.
@@ -160,15 +163,27 @@ def _any_of(pairs: Iterable[str]) -> str:
     return written(tree)
 
 
-def stretches(parts: DataFrame, share: float) -> DataFrame:
-    """The stretches of ``part`` (text without blank lines) that a template may fill: its ``family``, ``first`` and
-    ``last`` line, and the ``words``, with some more on both sides."""
-    kept = [c for c in parts.columns if c != "part"]
-    told = telling_pairs(share)
+def _placed(parts: DataFrame, share: float) -> DataFrame:
+    """Adds ``all``, the words of ``part``, and ``placed``, the same with their ``line``, if a telling word pair is there; else both are null."""
+    told = F.lower("part").rlike(r"(?<![\p{L}\p{N}])" + _any_of(telling_pairs(share)))
     lines = F.transform(F.split("part", r"\R"), lambda line, at: F.transform(words_of(line), lambda w: F.struct(at.alias("line"), w.alias("word"))))
-    placed = parts.where(F.lower("part").rlike(r"(?<![\p{L}\p{N}])" + _any_of(told))).select(*kept, F.flatten(lines).alias("placed"))
-    placed = placed.withColumn("all", F.col("placed.word")).where(F.size("all") > 1)
+    return parts.withColumn("placed", F.when(told, F.flatten(lines))).withColumn("all", F.col("placed.word"))
+
+
+def _lines() -> Column:
+    """The lines of a part, as structs of what :func:`_stretches` has."""
+    return F.transform(
+        F.split("part", r"\R"),
+        lambda line, at: F.struct(
+            F.lit(None).cast("string").alias("asked"), at.alias("first"), at.alias("last"), line.alias("piece"), F.lit(1).alias("line")
+        ),
+    )
+
 
+def _stretches(placed: DataFrame, share: float) -> DataFrame:
+    """Adds ``cuts``: the stretches that a template may fill, with its family as ``asked``, their ``first`` and ``last`` line and their
+    words as ``piece``, with some more on both sides: a quarter of the template's words, since words may have been put in."""
+    told = telling_pairs(share)
     # The functions of elements below read nothing but these: what they read of the row is made anew for each.
     later = F.slice("all", 2, F.size("all") - 1)
     paired = F.transform(
@@ -189,18 +204,20 @@ def stretches(parts: DataFrame, share: float) -> DataFrame:
             lambda t: F.struct(t["family"].alias("family"), (hit["at"] - t["k"]).alias("begin"), t["n"].alias("n")),
         )
 
-    hits = F.filter(paired, lambda p: p["pair"].isin(sorted(told)))
-    cuts = placed.select(*kept, "placed", "all", F.inline(F.array_distinct(F.flatten(F.transform(hits, around)))))
-    # Words may have been put in.
-    more = F.floor(F.col("n") / 4).cast("int")
-    begin = F.greatest(F.lit(0), F.col("begin") - more)
-    return cuts.select(
-        *kept,
-        F.col("family").alias("asked"),
-        F.get("placed", F.greatest(F.lit(0), F.col("begin")))["line"].alias("first"),
-        F.get("placed", F.least(F.size("all"), F.col("begin") + F.col("n")) - 1)["line"].alias("last"),
-        F.slice("all", begin + 1, F.col("begin") + F.col("n") + more - begin).alias("words"),
-    )
+    def cut(found: Column) -> Column:
+        more = F.floor(found["n"] / 4).cast("int")
+        begin = F.greatest(F.lit(0), found["begin"] - more)
+        return F.struct(
+            found["family"].alias("asked"),
+            F.get("placed", F.greatest(F.lit(0), found["begin"]))["line"].alias("first"),
+            F.get("placed", F.least(F.size("all"), found["begin"] + found["n"]) - 1)["line"].alias("last"),
+            F.array_join(F.slice("all", begin + 1, found["begin"] + found["n"] + more - begin), " ").alias("piece"),
+            F.lit(0).alias("line"),
+        )
+
+    hits = F.when(F.size("all") > 1, F.filter(paired, lambda p: p["pair"].isin(sorted(told))))
+    found = placed.withColumn("found", F.array_distinct(F.flatten(F.transform(hits, around))))
+    return found.withColumn("cuts", F.coalesce(F.transform("found", cut), F.array()))
 
 
 def _examples(spark: SparkSession, plain: DataFrame) -> DataFrame:
@@ -248,11 +265,9 @@ class LicenceModel:
 
     def confirmed(self, frame: DataFrame) -> DataFrame:
         """Adds ``family``: the guess where it is sure enough and a template of it is there, else ``none``."""
-        pairs = pairs_of(F.col("words"))
-
         def held(notice: str) -> Column:
             own = sorted({f"{a} {b}" for a, b in zip(notice.split(), notice.split()[1:], strict=False)})
-            return F.size(F.array_intersect(pairs, F.array(*map(F.lit, own)))) / F.lit(float(len(own)))
+            return F.size(F.array_intersect("_pairs", F.array(*map(F.lit, own)))) / F.lit(float(len(own)))
 
         matched = reduce(
             lambda so_far, family: so_far.when(F.col("guess") == family, F.greatest(F.lit(0.0), *map(held, TEMPLATES[family]))),
@@ -260,7 +275,9 @@ class LicenceModel:
             F.when(F.col("guess") == NONE, F.lit(0.0)),
         )
         sure = (F.col("probability") >= self.least) & (F.col("matched") >= self.share)
-        return frame.withColumn("matched", matched).withColumn("family", F.when(sure, F.col("guess")).otherwise(NONE))
+        # Pairs of what is none are not made.
+        paired = frame.withColumn("_pairs", F.when(F.col("guess") != NONE, pairs_of(F.col("words"))))
+        return paired.withColumn("matched", matched).drop("_pairs").withColumn("family", F.when(sure, F.col("guess")).otherwise(NONE))
 
 
 def fit(spark: SparkSession, docs: DataFrame, passing: float = 0.005, share: float = 0.6) -> LicenceModel:
@@ -311,26 +328,23 @@ def find_licences(
     """
     read = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     model = model or fit(spark, read)
-    # Rows alike in id and text get the same answer; they are counted and given back.
-    key = read.withColumn("mark", F.xxhash64("text"))
-    parts = key.select("id", "mark", F.posexplode(F.split("text", _GAP)).alias("part", "text"))
-    lines = paragraphs(parts).select("id", "mark", "part", F.lit(1).alias("line"), F.col("place").alias("first"), F.col("place").alias("last"), "words")
-    cut = stretches(parts.select("id", "mark", F.col("part").alias("at_part"), F.col("text").alias("part")), model.share)
-    cut = cut.withColumnRenamed("at_part", "part").withColumn("line", F.lit(0))
-    both = lines.withColumn("asked", F.lit(None).cast("string")).unionByName(cut)
-    found = model.confirmed(model.predict(both))
-    notice = (F.col("family") != NONE) & F.coalesce(F.col("family") == F.col("asked"), F.lit(True))
+    # Rows alike in id and text get the same answer; they are counted and given back.  A row's first part is a null one, to count it.
+    marked = read.withColumn("mark", F.xxhash64("text"))
+    kept = F.concat(F.array(F.lit(None).cast("string")), F.split("text", _GAP))
+    parts = marked.select("id", "mark", F.posexplode(kept).alias("at", "part"))
+    cut = _stretches(_placed(parts, model.share), model.share)
+    # Lines and stretches in one scan; a line without a word is no paragraph.
+    items = cut.select("id", "mark", "at", F.inline_outer(F.concat(_lines(), "cuts")))
+    items = items.where((F.col("at") == 0) | F.col("piece").rlike(_LETTER))
+    found = model.confirmed(model.predict(items.withColumn("words", words_of(F.coalesce("piece", F.lit("")))).drop("piece")))
+    notice = (F.col("at") > 0) & (F.col("family") != NONE) & F.coalesce(F.col("family") == F.col("asked"), F.lit(True))
     each = found.select(
-        "id", "mark", F.lit(0).alias("row"), F.col("line").alias("paragraph"),
-        F.when(notice, F.struct("family", "part", "first", "last", "line")).alias("notice"),
+        "id", "mark", (F.col("at") == 0).cast("int").alias("row"), F.coalesce("line", F.lit(0)).alias("paragraph"),
+        F.when(notice, F.struct("family", F.col("at").alias("part"), "first", "last", "line")).alias("notice"),
         F.when(notice, F.col("probability")).alias("probability"),
-    ).where("paragraph = 1 OR notice IS NOT NULL")
-    rows = key.select(
-        "id", "mark", F.lit(1).alias("row"), F.lit(0).alias("paragraph"),
-        F.lit(None).cast(each.schema["notice"].dataType).alias("notice"), F.lit(None).cast("double").alias("probability"),
-    )
+    ).where("row = 1 OR paragraph = 1 OR notice IS NOT NULL")
     # The notices of one document, which its own length bounds; repeated rows have the same.
-    summed = rows.unionByName(each).groupBy("id", "mark").agg(
+    summed = each.groupBy("id", "mark").agg(
         F.sum("row").alias("rows"),
         F.sum("paragraph").alias("paragraphs"),
         F.array_sort(F.collect_set("notice")).alias("notices"),
