@@ -7,7 +7,8 @@ from prefix to prefix gives the count of all of them, and with them the answer t
 any question on truncation or budgets, without encoding anything again.
 
 No piece of the model goes on from another character to the mark of a space, so
-words with the spaces before them are encoded apart; their counts are kept per task.
+words with the spaces before them are encoded apart; their counts are kept per task.  Words of a batch advance
+together; one longer than ``KEPT_LENGTH``, such as a line without spaces, goes by itself.
 """
 
 from __future__ import annotations
@@ -99,6 +100,8 @@ class PrefixCounter(dict):
         self.pieces = list(self.score)
         self.longest = max(map(len, self.pieces))
         self.table = PieceTable(self.pieces)
+        self.number = {piece: k for k, piece in enumerate(self.pieces)}
+        self.pairs: dict[int, bool] = {}
         # Two more numbers: a character that the model lacks, and the begin of a word.
         self.lacking, self.begin = len(self.pieces), len(self.pieces) + 1
         self.pair_keys, self.pair_fits = np.zeros(PAIR_SLOTS, np.uint64), np.zeros(PAIR_SLOTS, bool)
@@ -179,6 +182,42 @@ class PrefixCounter(dict):
                 first = np.delete(first, maybe[good])
         return tokens, starts
 
+    def counts_of_long(self, word: str) -> np.ndarray:
+        """As :meth:`counts` for one long word, character by character: arrays of one element are slower than numbers."""
+        number, pairs, longest, lacking = self.number, self.pairs, self.longest, self.lacking
+        last, tokens = [self.begin] * (len(word) + 1), [0] * (len(word) + 1)
+        if len(pairs) > PAIR_SLOTS >> 2:
+            pairs.clear()
+        for end in range(1, len(word) + 1):
+            for begin in range(max(0, end - longest), end):
+                piece = number.get(word[begin:end])
+                if piece is None:
+                    if end - begin > 1:
+                        continue
+                    piece = lacking
+                pair = last[begin] << 32 | piece + 1
+                good = pairs.get(pair)
+                if good is None:
+                    good = pairs[pair] = self._checked(pair)
+                if good:
+                    last[end] = piece
+                    tokens[end] = tokens[begin] + (len(word[begin].encode()) if piece == lacking else 1)
+                    break
+        return np.array(tokens[1:], dtype=np.int64)
+
+    def counts_of_any(self, words: list[str]) -> np.ndarray:
+        """Tokens of every prefix of every word, the words on end."""
+        short = [word for word in words if len(word) <= KEPT_LENGTH]
+        inner, starts = self.counts(short)
+        parts, at = [], 0
+        for word in words:
+            if len(word) > KEPT_LENGTH:
+                parts.append(self.counts_of_long(word))
+            else:
+                parts.append(inner[starts[at] : starts[at + 1]])
+                at += 1
+        return np.concatenate(parts)
+
     def learn(self, words: set[str]) -> None:
         """Counts of new short words, all at once."""
         new = [word for word in words.difference(self) if 0 < len(word) <= KEPT_LENGTH]
@@ -203,7 +242,7 @@ class PrefixCounter(dict):
             else:
                 apart = _WORD.findall(SPACE + text.replace(" ", SPACE))
                 lengths = np.fromiter(map(len, apart), np.int64, len(apart))
-                inner, _ = self.counts(apart)
+                inner = self.counts_of_any(apart)
             ends = np.cumsum(lengths)
             of_words = inner[ends - 1].astype(np.int64)
             counts = inner + np.repeat(np.cumsum(of_words) - of_words, lengths)
