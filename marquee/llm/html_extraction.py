@@ -12,7 +12,7 @@ trained on pages whose markup names their parts; where a page names a part, that
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -50,19 +50,23 @@ HEAD_TAGS = frozenset("base link meta noscript script style template title".spli
 #: The classifier's bound in log odds, what a name and a block all of links are worth, and what it costs to part
 #: neighbours and blocks of one parent.  A name is worth less than the classifier can say against it.
 FORM, NAMED, LINKED, ADJACENT, SIBLINGS = 4.0, 3.0, 3.0, 0.6, 0.6
+#: An ``article`` or ``main`` element is worth more than all that can be said against a block in it: form, links and edges.
+SURE = FORM + LINKED + 2 * (ADJACENT + SIBLINGS) + 1.0
 
 # The tag's rest: text without quotes, quoted text, or a quote that never closes.
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?", re.DOTALL)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     tag: str
     parent: Node | None
-    named: int  # 1 content, -1 boilerplate, 0 neither, as said by this element or one above
+    named: int  # 2 surely content, 1 content, -1 boilerplate, 0 neither, as said by this element or one above
     silent: bool
-    depth: int
+    aside: bool = False  # in a wrapper that holds articles of other pages
+    holder: Node | None = None  # the element itself or the next one above that parts text
+    open: Counter[str] = field(default_factory=Counter)  # inline elements that are open in this holder
 
 
 @dataclass
@@ -83,12 +87,6 @@ def _said(names: str, content: bool) -> int:
     return int(good) - any(bad)
 
 
-def _aside(node: Node | None) -> bool:
-    while node is not None and node.tag not in ASIDES:
-        node = node.parent
-    return node is not None
-
-
 def _element(tag: str, rest: str, parent: Node) -> Node:
     named = parent.named
     names = " ".join("".join(m) for m in _NAMES.findall(rest)).lower() if rest else ""
@@ -99,30 +97,44 @@ def _element(tag: str, rest: str, parent: Node) -> Node:
         named = -1
     elif tag in CONTENT_TAGS:
         if named >= 0:
-            named = 1
+            named = 2
         elif said >= 0:  # a wrapper's name does not speak for an article in it
-            named = 0 if _aside(parent) else 1
-    elif said < 0 or (said > 0 and named >= 0):
+            named = 0 if parent.aside else 1
+    elif said < 0:
         named = said
+    elif named >= 0:
+        named = max(named, said)
     hidden = re.search(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", rest, re.IGNORECASE) if rest else None
-    return Node(tag, parent, named, parent.silent or tag in SILENT or bool(hidden), parent.depth + 1)
+    node = Node(tag, parent, named, parent.silent or tag in SILENT or bool(hidden), parent.aside or tag in ASIDES)
+    node.holder = parent.holder if tag in INLINE else node
+    return node
 
 
 def blocks_of(html: str) -> list[BlockOfText]:
     """The page's blocks in order; text of silent elements is left out."""
-    root = Node("", None, 0, False, 0)
+    root = Node("", None, 0, False)
+    root.holder = root
     here, made, current, at = root, [], None, 0
     links = 0
+    #: Open elements by tag, so that an end tag without a beginning is known at once.
+    opened: Counter[str] = Counter()
+
+    def close_until(above: Node) -> None:
+        """Ends elements until ``above`` is the innermost one.  Each element is ended once."""
+        nonlocal here, links
+        while here is not above:
+            links -= here.tag == "a"
+            opened[here.tag] -= 1
+            if here.tag in INLINE:
+                here.holder.open[here.tag] -= 1
+            here = here.parent
 
     def add(text: str) -> None:
         nonlocal current
         if not text or here.silent:
             return
         if current is None:
-            holder = here
-            while holder.tag in INLINE and holder.parent is not None:
-                holder = holder.parent
-            current = BlockOfText(holder)
+            current = BlockOfText(here.holder)
             made.append(current)
         current.parts.append(text)
         if links:
@@ -132,7 +144,7 @@ def blocks_of(html: str) -> list[BlockOfText]:
         token = _TOKEN.search(html, at)
         text = html[at : token.start() if token else len(html)]
         if here.tag == "head" and text.strip():  # a head that is left open ends where the page begins
-            here = here.parent
+            close_until(here.parent)
         add(text)
         if token is None:
             break
@@ -143,33 +155,28 @@ def blocks_of(html: str) -> list[BlockOfText]:
         if tag not in INLINE:
             current = None
         if here.tag == "head" and not token[1] and tag not in HEAD_TAGS:
-            here = here.parent
+            close_until(here.parent)
         if token[1]:
-            above = here
-            while above is not root and above.tag != tag:
-                # An inline element's end never ends the block it is in.
-                above = root if tag in INLINE and above.tag not in INLINE else above.parent
-            if above is not root:
-                while here is not above.parent:
-                    links -= here.tag == "a"
-                    here = here.parent
+            # An inline element's end never ends the block it is in.
+            if (here.holder.open if tag in INLINE else opened)[tag] > 0:
+                while here.tag != tag:
+                    close_until(here.parent)
+                close_until(here.parent)
         elif tag not in VOID:
             # A paragraph or an item ends where the next block begins.
             if tag not in INLINE:
-                above = here
-                while above.tag in INLINE:
-                    above = above.parent
+                above = here.holder
                 if above.tag == "p" or (above.tag == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
-                    while here is not above.parent:
-                        links -= here.tag == "a"
-                        here = here.parent
+                    close_until(above.parent)
             here = _element(tag, token[3], here)
             links += tag == "a"
+            opened[tag] += 1
+            if tag in INLINE:
+                here.holder.open[tag] += 1
             if tag in RAW:
                 end = re.compile(f"</{tag}\\b[^>]*>?", re.IGNORECASE).search(html, at)
                 at = end.end() if end else len(html)
-                here = here.parent
-                links -= tag == "a"
+                close_until(here.parent)
     for block in made:
         block.text = " ".join(unescape("".join(block.parts)).split())
     return [block for block in made if block.text]
@@ -231,45 +238,43 @@ def minimum_cut(gain: np.ndarray, edges: list[tuple[int, int, float]]) -> np.nda
     """Which nodes stay with the source: the cheapest cut if node k costs ``max(0, gain[k])`` apart from the source
     and ``max(0, -gain[k])`` apart from the sink, and each edge costs if it is cut.
 
-    Flow is pushed along shortest paths until none is left.
+    Flow is pushed from one node with capacity from the source after the other, along shortest paths.  When no more of it
+    finds a way, the nodes that it reached stay with the source; nothing else flows through them later, so they
+    are not looked at again, and a page of many blocks takes little longer than its blocks one by one.
     """
     count = len(gain)
-    spare = gain.astype(float).copy()  # capacity left from the source (positive) or to the sink (negative)
+    spare = gain.astype(float).tolist()  # capacity left from the source (positive) or to the sink (negative)
     edge: list[dict[int, float]] = [{} for _ in range(count)]
     for a, b, cost in edges:
         edge[a][b] = edge[a].get(b, 0.0) + cost
         edge[b][a] = edge[b].get(a, 0.0) + cost
     tiny = 1e-9
-
-    def reached() -> tuple[list[int], int]:
-        """Where flow can still go from the source, and the first node that can pass it to the sink."""
-        back = [-2] * count
-        waiting = deque(int(k) for k in np.flatnonzero(spare > tiny))
-        for k in waiting:
-            back[k] = -1
-        while waiting:
-            here = waiting.popleft()
-            for there, room in edge[here].items():
-                if room > tiny and back[there] == -2:
-                    back[there] = here
-                    if spare[there] < -tiny:
-                        return back, there
-                    waiting.append(there)
-        return back, -1
-
-    while True:
-        back, end = reached()
-        if end < 0:
-            return np.array([b != -2 for b in back], dtype=bool)
-        path = [end]
-        while back[path[-1]] >= 0:
-            path.append(back[path[-1]])
-        flow = min([spare[path[-1]], -spare[end], *(edge[a][b] for b, a in zip(path, path[1:], strict=False))])
-        spare[path[-1]] -= flow
-        spare[end] += flow
-        for b, a in zip(path, path[1:], strict=False):
-            edge[a][b] -= flow
-            edge[b][a] += flow
+    kept = np.zeros(count, dtype=bool)
+    for begin in range(count):
+        while spare[begin] > tiny and not kept[begin]:
+            back, waiting, end = {begin: -1}, deque((begin,)), -1
+            while waiting and end < 0:
+                here = waiting.popleft()
+                for there, room in edge[here].items():
+                    if room > tiny and there not in back and not kept[there]:
+                        back[there] = here
+                        if spare[there] < -tiny:
+                            end = there
+                            break
+                        waiting.append(there)
+            if end < 0:
+                kept[list(back)] = True
+                break
+            path = [end]
+            while back[path[-1]] >= 0:
+                path.append(back[path[-1]])
+            flow = min([spare[begin], -spare[end], *(edge[a][b] for b, a in zip(path, path[1:], strict=False))])
+            spare[begin] -= flow
+            spare[end] += flow
+            for b, a in zip(path, path[1:], strict=False):
+                edge[a][b] -= flow
+                edge[b][a] += flow
+    return kept
 
 
 def main_text(html: str | None, weights: np.ndarray) -> str:
@@ -281,8 +286,8 @@ def main_text(html: str | None, weights: np.ndarray) -> str:
     gain = np.clip(form @ weights, -FORM, FORM) - LINKED * form[:, 2]
     named = np.array([b.node.named for b in blocks])
     if (named[gain > 0] < 0).all():  # a name of all that reads as content, such as a form around the page, tells nothing apart
-        named = np.array([n if n >= 0 or _aside(b.node) else 0 for n, b in zip(named, blocks, strict=True)])
-    gain += NAMED * named
+        named = np.array([n if n >= 0 or b.node.aside else 0 for n, b in zip(named, blocks, strict=True)])
+    gain += np.where(named > 1, SURE, NAMED * named)
     edges, last = [], {}
     for k, block in enumerate(blocks):
         if k:
