@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.batches import buffer_of, slices
 from marquee.llm.shipping import in_tasks
+from marquee.llm.storage import drop, stored
 from marquee.llm.wordhash import (
     fold_table,
     gram_hashes,
@@ -179,16 +180,20 @@ def scan(automaton: Automaton, texts: pa.Array) -> Iterator[Found]:
         yield Found(hit, begins[first:last] - starts[k], ends[first:last] - starts[k], items)
 
 
-def blocks_of(benchmark: DataFrame, id_column: str, text_column: str) -> Iterator[list[tuple[object, list[bytes]]]]:
-    """The items, so many at a time as one automaton may hold; an item alone may be longer."""
-    block, size = [], 0
-    for item, text in benchmark.select(id_column, text_column).toLocalIterator():
-        if block and size + len(text or "") > AUTOMATON_BYTES:
-            yield block
-            block, size = [], 0
-        block.append((item, words_of(text)))
-        size += len(text or "")
-    yield block
+def blocks_of(benchmark: DataFrame, id_column: str, text_column: str) -> Iterator[tuple[list[tuple[object, list[bytes]]], bool]]:
+    """The items in blocks of about ``AUTOMATON_BYTES``, each with whether it is the last one.
+
+    Spark deals the items out by a hash and writes them; only one block at a time is read by the driver.
+    """
+    items = benchmark.select(F.col(id_column).alias("item"), F.col(text_column).cast("string").alias("words"))
+    size = items.agg(F.sum(F.octet_length("words").cast("long"))).first()[0] or 0
+    count = max(1, -(-size // AUTOMATON_BYTES))
+    if count > 1:
+        dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(count)).cast("int"))
+        items = stored(benchmark.sparkSession, dealt.repartition("block").sortWithinPartitions("block"), "benchmark")
+    for block in range(count):
+        rows = (items.where(F.col("block") == block) if count > 1 else items).select("item", "words").collect()
+        yield [(item, words_of(text)) for item, text in rows], block == count - 1
 
 
 def matches(
@@ -199,34 +204,38 @@ def matches(
     text_column: str = "text",
     item_column: str = "item_id",
 ) -> DataFrame:
-    """Per row: the id, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings) and ``spans``.
+    """Per row: the id, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings), ``spans`` and ``sizes``.
 
     A word is hit if it stands in an occurrence of ``window`` consecutive words of an item, or
     of a whole item that is shorter.  ``spans`` are the stretches of hit words, as begin and end in
-    the UTF-8 bytes of the text.  Null texts and items have no words, and an item without
+    the UTF-8 bytes of the text, and ``sizes`` their words.  Null texts and items have no words, and an item without
     words occurs nowhere.  With no items nothing is hit.  Rows may repeat and ids may be null;
     other columns are left out.
 
     The texts are streamed through one automaton of bounded size after the other, which go
-    to the tasks as lists of items; they are not shuffled.
+    to the tasks as lists of items; they are not shuffled.  Items of over ``AUTOMATON_BYTES`` together take
+    a pass over the texts for each block of them, and each pass but the last one is written.
     """
     kind = docs.schema[id_column].dataType.simpleString()
     context = docs.sparkSession.sparkContext
-    frame = docs.select(
+    frame = read = docs.select(
         F.col(id_column).alias("id"),
         F.col(text_column).cast("string").alias("text"),
         F.lit(None).cast("binary").alias("hit"),
         F.array().cast("array<string>").alias("items"),
     )
     between = f"id {kind}, text string, hit binary, items array<string>"
-    final = f"id {kind}, n_words long, n_hit long, items array<string>, spans array<struct<begin:long,end:long>>"
-    blocks = blocks_of(benchmark, item_column, "text")
-    block = next(blocks)
-    while block is not None:
-        following = next(blocks, None)
-        work = _marks(context.broadcast(block), uuid.uuid4().hex, window, last=following is None)
-        frame = in_tasks(frame, work, final if following is None else between)
-        block = following
+    final = f"id {kind}, n_words long, n_hit long, items array<string>, spans array<struct<begin:long,end:long>>, sizes array<long>"
+    for block, last in blocks_of(benchmark, item_column, "text"):
+        shared = context.broadcast(block)
+        marked = in_tasks(frame, _marks(shared, uuid.uuid4().hex, window, last), final if last else between)
+        if not last:
+            # Written, so that no more than one automaton is held at a time.
+            marked = stored(docs.sparkSession, marked, "marked")
+            shared.destroy()
+            if frame is not read:
+                drop(docs.sparkSession, frame)
+        frame = marked
     return frame.withColumnRenamed("id", id_column)
 
 
@@ -238,8 +247,7 @@ def _marks(shared: Broadcast, name: str, window: int, last: bool) -> Callable:
     """A pass: adds the hits and items of one automaton to those of earlier passes; the last one sums up."""
     pair = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
 
-    def spans_of(hit: np.ndarray, found: Found) -> list[dict[str, int]]:
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
+    def spans_of(edges: np.ndarray, found: Found) -> list[dict[str, int]]:
         return [
             {"begin": int(found.begins[a]), "end": int(found.ends[b - 1])}
             for a, b in zip(edges[::2], edges[1::2], strict=True)
@@ -251,19 +259,21 @@ def _marks(shared: Broadcast, name: str, window: int, last: bool) -> Callable:
             _AUTOMATA[name] = Automaton(shared.value, window)
         automaton = _AUTOMATA[name]
         for batch in slices(batches, "text"):
-            hits, items, spans = [], [], []
+            hits, items, spans, sizes = [], [], [], []
             before = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
             for found, (mask, names) in zip(scan(automaton, batch.column(1)), before, strict=True):
                 hit = found.hit if mask is None else found.hit | np.frombuffer(mask, bool)
                 hits.append(hit)
                 items.append(sorted({*names, *map(str, found.items)}))
                 if last:
-                    spans.append(spans_of(hit, found))
+                    edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
+                    spans.append(spans_of(edges, found))
+                    sizes.append((edges[1::2] - edges[::2]).tolist())
             listed = pa.array(items, pa.list_(pa.string()))
             if last:
                 counts = [pa.array([f(h) for h in hits], pa.int64()) for f in (len, np.count_nonzero)]
-                columns = [batch.column(0), *counts, listed, pa.array(spans, pa.list_(pair))]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "n_hit", "items", "spans"])
+                columns = [batch.column(0), *counts, listed, pa.array(spans, pa.list_(pair)), pa.array(sizes, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "n_hit", "items", "spans", "sizes"])
             else:
                 columns = [batch.column(0), batch.column(1), pa.array([h.tobytes() for h in hits], pa.binary()), listed]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "text", "hit", "items"])
@@ -280,6 +290,45 @@ def without_spans(text: str | None, spans: Sequence[tuple[int, int]]) -> str:
     return b"".join([*kept, raw[at:]]).decode()
 
 
+def long_spans(words: int, spans: str = "spans", sizes: str = "sizes") -> Column:
+    """Of the hit stretches those of more than ``words`` words."""
+    return F.filter(F.arrays_zip(F.col(spans), F.col(sizes)), lambda both: both[sizes] > words)[spans]
+
+
+def cut_out(text: Column, spans: Column) -> Column:
+    """A text without the given stretches (begins and ends in its UTF-8 bytes, in order); the words around them stay apart."""
+    raw = text.cast("binary")
+    begins = F.concat(F.array(F.lit(0).cast("long")), spans["end"])
+    ends = F.concat(spans["begin"], F.array(F.octet_length(text).cast("long")))
+    pieces = F.zip_with(begins, ends, lambda a, b: F.substr(raw, (a + 1).cast("int"), (b - a).cast("int")))
+    return F.aggregate(pieces, F.lit("").cast("binary"), lambda kept, piece: F.concat(kept, piece)).cast("string")
+
+
+def remove_passages(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    longest: int = 50,
+    percent: int = 5,
+    window: int = 13,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_column: str = "item_id",
+) -> DataFrame:
+    """Per row of :func:`matches`: the id, ``text`` as it may be trained on, ``n_hit`` and ``n_cut``, the words taken out.
+
+    Where the hit words are ``percent`` of all or more, every hit stretch is taken out; elsewhere those of more than
+    ``longest`` words.  Other texts stay as they are, null ones null.  Rows may repeat and ids may be null.
+    """
+    marked = docs.select(F.struct(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).alias("row"))
+    read = marked.select("row", F.col("row.text").alias("text"))
+    found = matches(read, benchmark, window, "row", "text", item_column)
+    taken = F.filter(F.arrays_zip("spans", "sizes"), lambda both: (both["sizes"] > longest) | is_contaminated(percent))
+    cut = found.withColumn("taken", taken)
+    text = F.when(F.size("taken") > 0, cut_out(F.col("row.text"), F.col("taken.spans"))).otherwise(F.col("row.text"))
+    removed = F.aggregate(F.col("taken.sizes"), F.lit(0).cast("long"), lambda total, n: total + n)
+    return cut.select(F.col("row.id").alias(id_column), text.alias(text_column), "n_hit", removed.alias("n_cut"))
+
+
 def is_contaminated(percent: int = 5) -> Column:
     """Some word is hit, and the hit words are at least ``percent`` of all."""
     return (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))

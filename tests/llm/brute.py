@@ -62,6 +62,20 @@ def contamination(rows, items, window):
     return result
 
 
+def hit_words(text, items, window):
+    """For each word of a text whether it stands in a window of an item, or in a whole shorter item."""
+    found = words(text, LETTERS_DIGITS)
+    marks = [False] * len(found)
+    for _, item in items:
+        own = words(item, LETTERS_DIGITS)
+        size = min(window, len(own))
+        held = {tuple(own[k : k + size]) for k in range(len(own) - size + 1)} if own else set()
+        for k in range(len(found) - size + 1 if size else 0):
+            if tuple(found[k : k + size]) in held:
+                marks[k : k + size] = [True] * size
+    return marks
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")

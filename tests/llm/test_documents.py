@@ -7,6 +7,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+import brute
 from brute import contamination, fixed_forms, near_duplicates
 from pyspark.sql import functions as F
 
@@ -104,6 +105,44 @@ def test_matches_over_several_automata(spark, monkeypatch):
     assert decontamination.without_spans(rows[0][1], spans) == "zero  seven"
 
 
+@pytest.mark.parametrize("block", [1 << 23, 300])
+def test_passages_are_removed(spark, monkeypatch, block):
+    monkeypatch.setattr(decontamination, "AUTOMATON_BYTES", block)
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choices("abcdefgé", k=5))
+    items = [(k, " ".join(word() for _ in range(draw.choice([3, 14, 30, 80])))) for k in range(12)]
+    rows = list(ODD)
+    for k in range(60):
+        parts = [" ".join(word() for _ in range(draw.choice([0, 20, 900]))) for _ in range(3)]
+        parts.insert(1, draw.choice(items)[1].title() + draw.choice(["", "!", "\n "]))
+        rows.append((100 + k, ", ".join(parts)))
+    docs = frame(spark, rows).withColumn("row", F.lit(1)).withColumn("spans", F.lit(2))
+    found = decontamination.remove_passages(docs, spark.createDataFrame(items, "item_id long, text string"), longest=20)
+    assert found.columns == ["doc_id", "text", "n_hit", "n_cut"]
+    known = contamination(rows, items, 13)
+    wanted = []
+    for doc, text in rows:
+        words, hit, _ = known[doc]
+        whole, at, spans = text or "", 0, []
+        places = [m.span() for m in brute.LETTERS_DIGITS.finditer(whole.translate(brute.FOLD))]
+        marks = brute.hit_words(whole, items, 13)
+        while at < len(marks):
+            end = at
+            while end < len(marks) and marks[end]:
+                end += 1
+            if end > at and (end - at > 20 or 20 * hit >= words):
+                spans.append((at, end))
+            at = max(end, at + 1)
+        kept, last = [], 0
+        for begin, end in spans:
+            kept.append(whole[last : places[begin][0]])
+            last = places[end - 1][1]
+        kept = "".join([*kept, whole[last:]])
+        wanted.append((doc, None if text is None else kept, hit, sum(b - a for a, b in spans)))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(wanted, key=str)
+    assert len({w[3] > 0 for w in wanted}) == 2
+
+
 def test_matches_without_items(spark):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     found = decontamination.matches(frame(spark, ODD), benchmark).collect()

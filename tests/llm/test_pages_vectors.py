@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -69,6 +71,33 @@ def test_names_and_heads_do_not_lose_the_text(weights, page):
     assert found.startswith("Great story Once upon") and found.endswith("in the morning.")
 
 
+PARTS = {
+    "list": "<h1>Title</h1><p>P</p><ul><li><a>One thing</a></li><li><a>Two thing</a></li></ul><p>P</p>",
+    "table": "<p>P</p><table><tr><th>A<th>B<tr><td>1<td>2</table><p>end</p>",
+    "code": "<p>Run</p><pre>ls | wc</pre><figure><img src=x><figcaption>Fig | 1</figcaption></figure><p>©</p>",
+    "links": "<p><a href=1>All of it</a></p><p><a href=2>is linked</a></p>",
+    "inner": "<header><h2>Head</h2></header><div class=body><p>x</p></div><section><p>y</p></section>",
+}
+
+
+@pytest.mark.parametrize("part", PARTS)
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<body>" + MENU + "<main><article>{}</article></main><footer><p>Imprint</p></footer></body>"])
+def test_an_article_is_kept_whole(weights, part, frame):
+    wanted = " ".join(re.sub("<[^>]*>", " ", PARTS[part]).split())
+    assert html_extraction.main_text(frame.format(PARTS[part]), weights) == wanted
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 20_000 + "</section>" * 20_000 + "x", "<b>" * 20_000 + "x", "<i><div>" + "<b>" * 20_000 + "</i>" * 20_000, "<p>a <b>b" * 20_000,
+     "<p>A paragraph, it is. Here.</p><li><a>menu</a></li>" * 10_000, "<div><p>x</p>" * 20_000],
+)
+def test_hostile_pages_take_seconds(weights, page):
+    begun = time.monotonic()
+    html_extraction.main_text(page, weights)
+    assert time.monotonic() - begun < 20
+
+
 def test_articles_of_other_pages_stay_out(weights):
     teaser = "<article><a href=5>Other tale</a></article>"
     remark = "<section id=comments><article class=comment-body><p>Nice.</article></section>"

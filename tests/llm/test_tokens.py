@@ -1,6 +1,7 @@
 """Token counts and packing against the tokenizers themselves."""
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -39,6 +40,25 @@ def test_every_prefix_has_the_library_s_count():
         assert (token_counts.unpacked(token_counts.packed(counts)) == counts).all()
 
 
+@pytest.mark.parametrize("kind", ["cjk", "known", "line", "spaces", "letters", "mixed"])
+def test_very_long_words_are_counted_in_seconds(kind):
+    draw = random.Random(7)
+    text = {
+        "cjk": lambda: "".join(chr(draw.randint(0x4E00, 0x9FFF)) for _ in range(100_000)),
+        "known": lambda: "".join(draw.choices("的是我不了人在a1{};", k=100_000)),
+        "line": lambda: "".join(draw.choices(["function", "{", "}", "return", "x=", "0", "foo", "(", ")", ";"], k=330_000)),
+        "spaces": lambda: " " * 200_000,
+        "letters": lambda: "z" * 100_000 + " word " + "y" * 65,
+        "mixed": lambda: " ".join("".join(draw.choices("abcé", k=draw.randint(1, 130))) for _ in range(2000)),
+    }[kind]()
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    begun = time.monotonic()
+    counts = token_counts.counter(MODEL).prefix_counts(text)
+    assert time.monotonic() - begun < 60 and len(counts) == len(text) + 1
+    for end in (len(text), len(text) // 2, 70, 1000):
+        assert counts[end] == len(library.encode(text[:end]))
+
+
 def test_budget_is_the_longest_prefix():
     counts = token_counts.counter(MODEL).prefix_counts("then the theory there")
     for budget in range(int(counts.max()) + 2):
