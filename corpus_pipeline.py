@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import decontamination, jaccard_join, language_id, pii, queries
 from marquee.llm.storage import stored
+from marquee.operators.skew import spread_join
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
@@ -26,38 +27,78 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Documents without words are no duplicates.  Texts that share an id are told apart; rows alike in
     id and text are one document and stay or go together, but of those without an id one stays.
     """
-    marked = docs.withColumn("_id", F.xxhash64("doc_id", "text"))
-    found = jaccard_join.near_duplicates(spark, marked, width=5, threshold=0.8, id_column="_id")
-    linked = found.where(F.col("_id") != F.col("component_id")).select("_id", "component_id").distinct()
+    mark, rank, best = fresh(docs, "mark"), fresh(docs, "rank"), fresh(docs, "best")
+    marked = with_mark(docs, mark)
+    found = jaccard_join.near_duplicates(spark, marked, width=5, threshold=0.8, id_column=mark)
+    linked = found.where(F.col(mark) != F.col("component_id")).select(F.col(mark).alias("node"), F.col("component_id").alias("root")).distinct()
     linked = stored(spark, linked, "linked")
-    members = linked.unionByName(linked.select(F.col("component_id").alias("_id"), "component_id").distinct())
-    named = marked.select("_id", "doc_id").join(members, "_id").distinct()
-    named = stored(spark, named.withColumn("_rank", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_id")), "members")
-    best = named.groupBy("component_id").agg(F.min("_rank").alias("_best"))
-    copies = named.join(best, "component_id").where(F.col("_rank") != F.col("_best")).select("_id")
-    kept = marked.join(copies, "_id", "left_anti")
+    members = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
+    named = marked.select(F.col(mark).alias("node"), "doc_id").join(members, "node").distinct()
+    named = stored(spark, named.withColumn(rank, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")), "members")
+    # A group may hold a third of all documents: its rows are spread over many tasks.
+    first = named.groupBy("root").agg(F.min(rank).alias(best))
+    copies = spread_join(named, first, "root", ["node"]).where(F.col(rank) != F.col(best)).select(F.col("node").alias(mark))
+    kept = marked.join(copies, mark, "left_anti")
     # Rows without an id whose texts are equal are copies, too.
     single = F.col("doc_id").isNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    alone = kept.where(single).groupBy("_id").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    alone = kept.where(single).groupBy(mark).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return kept.where(~single).select(*docs.columns).unionByName(alone)
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
+def with_mark(docs: DataFrame, mark: str) -> DataFrame:
+    """Adds a whole number that two rows share if they share id and text, and only then.
+
+    It is a hash of 64 bits.  Of so many documents that some of these meet, those that do are told apart by a checksum of 256 bits: n
+    documents have about n * n / 2 ** 65 such hashes, three of ten thousand million, which is what is broadcast.
+    """
+    hashed, checksum = F.xxhash64("doc_id", "text"), fresh(docs, "checksum")
+    own = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col("text").isNull(), F.coalesce("text", F.lit("")))
+    both = docs.select(hashed.alias("hash"), F.sha2(own, 256).alias("sum"))
+    met = both.groupBy("hash").agg(F.min("sum").alias("low"), F.max("sum").alias("high")).where("low <> high")
+    met = F.broadcast(stored(docs.sparkSession, met.select(F.col("hash").alias(mark), F.lit(True).alias(checksum)), "clashes"))
+    told = F.when(F.col(checksum), F.xxhash64(F.col(mark), F.sha2(own, 256))).otherwise(F.col(mark))
+    return docs.withColumn(mark, hashed).join(met, mark, "left").withColumn(mark, told).drop(checksum)
+
+
+#: Test passages of over so many words are cut out of documents that stay.
+LONGEST_PASSAGE = 50
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a twentieth or more stands in test items go; others stay as they are."""
-    marked = docs.withColumn("_key", key())
-    found = decontamination.matches(marked, queries.read(spark, sf_dir, "benchmark"), id_column="_key")
-    bad = found.where(decontamination.is_contaminated()).select(F.col("_key").alias("bad")).distinct()
-    return marked.join(bad, F.col("_key").eqNullSafe(F.col("bad")), "left_anti").select(*docs.columns)
+    """Documents of which a twentieth or more stands in test items go; of others, passages of over 50 words.
+
+    ``n_chars`` follows a text that is cut.
+    """
+    name, bad = fresh(docs, "key"), fresh(docs, "found")
+    marked = docs.withColumn(name, key())
+    found = decontamination.matches(marked, queries.read(spark, sf_dir, "benchmark"), id_column=name)
+    found = found.withColumn("gone", decontamination.is_contaminated())
+    found = found.withColumn("cuts", decontamination.long_spans(LONGEST_PASSAGE)).where("gone OR size(cuts) > 0")
+    found = found.select(F.col(name).alias(bad), F.struct("gone", "cuts").alias("what")).distinct()
+    joined = marked.join(found.withColumnRenamed("what", fresh(marked, "what")), F.col(name).eqNullSafe(F.col(bad)), "left")
+    what = F.col(fresh(marked, "what"))
+    stays = joined.where(~F.coalesce(what["gone"], F.lit(False)))
+    text = F.when(what.isNotNull(), decontamination.cut_out(F.col("text"), what["cuts"])).otherwise(F.col("text"))
+    count = F.when(what.isNotNull(), F.char_length(text).cast("long")).otherwise(F.col("n_chars"))
+    return stays.withColumns({"text": text, "n_chars": count}).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
     """Personal data are replaced by the name of their kind; ``n_chars`` follows."""
-    marked = docs.withColumn("_key", key())
-    found = pii.find_pii(spark, marked, "_key").where("spans <> ''").select(F.col("_key").alias("_found"), "spans").distinct()
-    joined = marked.join(found, F.col("_key").eqNullSafe(F.col("_found")), "left")
-    text = pii.mask_column(F.col("text"), F.coalesce("spans", F.lit("")))
+    name, other, spans = fresh(docs, "key"), fresh(docs, "found"), fresh(docs, "spans")
+    marked = docs.withColumn(name, key())
+    found = pii.find_pii(spark, marked, name).where("spans <> ''").select(F.col(name).alias(other), F.col("spans").alias(spans)).distinct()
+    joined = marked.join(found, F.col(name).eqNullSafe(F.col(other)), "left")
+    text = pii.mask_column(F.col("text"), F.coalesce(spans, F.lit("")))
     changed = joined.withColumn("text", text)
-    count = F.when(F.col("spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    count = F.when(F.col(spans).isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return changed.withColumn("n_chars", count).select(*docs.columns)
 
 
