@@ -176,6 +176,41 @@ def test_recall_on_many_vectors(spark, monkeypatch):
     assert sum(len(set(found[k]) & set(wanted[k])) for k in wanted) >= 0.9 * 5 * len(wanted)
 
 
+def test_parts_are_parted_again(spark, monkeypatch):
+    """More parts in a larger table, found as well, and most vectors are not looked at."""
+    monkeypatch.setattr(ann, "SPLIT", 300)
+    monkeypatch.setattr(ann, "PART", 100)
+    draw = np.random.default_rng(8)
+    centres = draw.normal(size=(40, 12))
+    points = np.array([centres[k % 40] + 0.2 * draw.normal(size=12) for k in range(4000)])
+    rows = [(k, v.tolist()) for k, v in enumerate(points)]
+    found, wanted = searched(spark, rows, sample=512), nearest(rows, 5)
+    assert sum(len(set(found[k]) & set(wanted[k])) for k in wanted) >= 0.9 * 5 * len(wanted)
+    # The same by hand: of 8 parts those of more than 300 vectors are parted again.
+    router = ann.fit(points[:512], 5)
+    part = router.odds(ann.unit(points)).argmax(axis=1)
+    sizes = np.bincount(part, minlength=router.parts)
+    assert router.parts == 8 and sizes.max() > 300
+    below = {p: ann.fit_parts(ann.distinct_units(points[part == p]), 4) for p in np.flatnonzero(sizes > 300)}
+    router = ann.calibrated(ann.Router(router.dimension, 1, router.layers, below), ann.unit(points[:512]), 5, 0.97)
+    assert router.parts == 8 + 3 * len(below)
+    odds = router.odds(ann.unit(points))
+    assert np.allclose(np.exp(odds).sum(axis=1), 1)
+    sizes = np.bincount(odds.argmax(axis=1), minlength=router.parts)
+    share = sizes[np.argsort(-odds, axis=1)[:, : router.probes]].sum(axis=1).mean() / len(points)
+    assert share < 0.4
+
+
+def test_vectors_of_other_sizes_stay_out(spark):
+    draw = np.random.default_rng(9)
+    rows = [(k, draw.normal(size=4).tolist()) for k in range(50)]
+    odd = [(55, [1.0] * 9), (60, [1.0] * 3), (65, []), (70, [1.0] * 400)]
+    assert searched(spark, rows + odd) == nearest(rows, 5)
+    # Repeated ids: each row asks, and no row of an id answers it.
+    twice = [(5, [1.0, 0.0]), (5, [1.0, 0.1]), (6, [0.0, 1.0]), (7, [1.0, 1.0])]
+    assert searched(spark, twice) == {5: [7, 7, 6, 6]}
+
+
 def test_parts_are_balanced():
     draw = np.random.default_rng(7)
     points = ann.unit(draw.normal(size=(600, 8)))
