@@ -11,10 +11,12 @@ from marquee.functions.columns import settled, settled_popularity, weighted_mean
 from marquee.operators.distribution import correlation_matrix
 from marquee.operators.shaping import (
     eligible,
+    one_per_key,
     relevant_titles,
     summarise,
     top_rows,
     unfold,
+    with_crew,
     with_ratings,
 )
 from marquee.schemas import RELEVANT_TYPES
@@ -33,7 +35,7 @@ def genre_rating_correlation(titles: DataFrame, ratings: DataFrame) -> DataFrame
 
 
 def genre_popularity(
-    titles: DataFrame, ratings: DataFrame, types: Iterable[str] = RELEVANT_TYPES
+    titles: DataFrame, ratings: DataFrame, types: Iterable[str] = RELEVANT_TYPES, crew: DataFrame | None = None
 ) -> DataFrame:
     """Titles, mean rating, votes and popularity (mean x votes) of each genre.
 
@@ -41,10 +43,20 @@ def genre_popularity(
     sums to more than 100; ``popularity_score`` sums to 1.  The number of
     titles is found in the same scan: each title counts once, at its first
     genre.  The windows see one row per genre.
+
+    With ``crew``, ``directed_titles`` and ``written_titles`` count the titles whose directors or writers are
+    known; the other columns are the same with and without it, also if a title has several crew rows.
     """
     per_title = with_ratings(relevant_titles(titles, types), ratings)
+    credited = {}
+    if crew is not None:
+        per_title = with_crew(per_title, one_per_key(crew, ["tconst"], ["tconst"]))
+        credited = {f"{done}_titles": F.count(people) for done, people in (("directed", "directors"), ("written", "writers"))}
     per_genre = summarise(
-        per_title.select("titleType", "averageRating", "numVotes", F.posexplode(F.split("genres", ",")).alias("at", "genre")),
+        per_title.select(
+            "titleType", "averageRating", "numVotes", *(("directors", "writers") if credited else ()),
+            F.posexplode(F.split("genres", ",")).alias("at", "genre"),
+        ),
         "genre",
         total_titles=F.count("*"),
         avg_rating=F.avg("averageRating"),
@@ -53,6 +65,7 @@ def genre_popularity(
         movie_count=F.count_if(F.col("titleType") == "movie"),
         tvseries_count=F.count_if(F.col("titleType") == "tvSeries"),
         first_here=F.count_if(F.col("at") == 0),
+        **credited,
     )
     everything = Window.partitionBy()
     return (

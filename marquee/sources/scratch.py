@@ -13,13 +13,24 @@ from marquee.sources.catalogue import join_path
 _KEPT: set[str] = set()
 
 
+def shared_base(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or without it the warehouse, unless that is a local folder of a cluster's driver."""
+    known = spark.conf.get("spark.checkpoint.dir", None)
+    if known:
+        return known
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = warehouse.startswith("/") or warehouse.startswith("file:")
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new path below ``spark.checkpoint.dir``, or without it below the warehouse.
 
     What is written there is removed when the process ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = join_path(shared, f"marquee-{purpose}-{uuid.uuid4().hex}")
+    path = join_path(shared_base(spark), f"marquee-{purpose}-{uuid.uuid4().hex}")
     if not _KEPT:
         atexit.register(remove_all)
     _KEPT.add(path)

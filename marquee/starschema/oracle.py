@@ -251,8 +251,7 @@ oracle(
         "genre_count",
     ),
 )
-oracle(
-    "genre_popularity",
+_POPULARITY = (
     f"""SELECT genre, total_titles, {six("avg_rating")}, total_votes, {six("weighted_popularity")}, movie_count,
                tvseries_count,
                {six("total_titles / cast((SELECT count(*) FROM relevant) AS double) * 100e0", "title_percentage")},
@@ -262,7 +261,14 @@ oracle(
                      avg("averageRating") * cast(sum("numVotes") AS double) AS weighted_popularity,
                      count(*) FILTER (WHERE "titleType" = 'movie') AS movie_count,
                      count(*) FILTER (WHERE "titleType" = 'tvSeries') AS tvseries_count
-              FROM relevant_genres GROUP BY genre)""",
+              FROM relevant_genres GROUP BY genre)"""
+)
+oracle("genre_popularity", _POPULARITY)
+oracle(
+    "genre_popularity_with_crew",
+    f"""SELECT p.*, directed_titles, written_titles FROM ({_POPULARITY}) p JOIN (
+            SELECT genre, count(directors) AS directed_titles, count(writers) AS written_titles
+            FROM relevant_genres LEFT JOIN crew USING (tconst) GROUP BY genre) USING (genre)""",
 )
 for _place in ("region", "language"):
     oracle(
@@ -604,3 +610,14 @@ ORACLE["als_audience"] = f"""
     SELECT l_partkey, customers, cast(customers AS integer) AS last_rank, cast(0 AS bigint) AS rated_before
     FROM (SELECT l_partkey, least(5, (SELECT count(DISTINCT o_custkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) - count(*)) AS customers
           FROM ({_BOUGHT}) WHERE l_partkey % 100 = 0 GROUP BY l_partkey) WHERE customers > 0"""
+
+_LISTED = """SELECT tconst FROM rated WHERE genres IS NOT NULL"""
+oracle(
+    "similar_titles_check",
+    f"""SELECT tconst, least(10, (SELECT count(*) FROM ({_LISTED})) - 1) AS neighbours, true AS in_order,
+               cast(0 AS bigint) AS itself, true AS alike FROM ({_LISTED})""",
+)
+oracle(
+    "title_recommendations_check",
+    f"""SELECT least(10, count(*) - 1) AS titles, cast(0 AS bigint) AS itself, true AS blended, true AS bounded FROM ({_LISTED})""",
+)

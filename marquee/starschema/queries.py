@@ -293,6 +293,11 @@ def genre_popularity(star: StarCatalogue) -> DataFrame:
     return genres.genre_popularity(star.titles, star.ratings)
 
 
+@query
+def genre_popularity_with_crew(star: StarCatalogue) -> DataFrame:
+    return genres.genre_popularity(star.titles, star.ratings, crew=star.crew)
+
+
 @query
 def genre_trends(star: StarCatalogue) -> DataFrame:
     return genres.genre_trends(star.titles, star.ratings)
@@ -665,6 +670,44 @@ def similar_titles_topk(star: StarCatalogue) -> DataFrame:
     return recommender.TitleRecommender().fit(star.titles, star.ratings).similar_titles()
 
 
+@query
+def similar_titles_check(star: StarCatalogue) -> DataFrame:
+    """Per title: its neighbours, whether their ranks are gapless and in order, and, where over ten other titles have its
+    genres, whether all of them are as good as alike."""
+    fitted = recommender.TitleRecommender().fit(star.titles, star.ratings)
+    found = fitted.similar_titles()
+    later = F.lead("similarity").over(Window.partitionBy("tconst").orderBy("rank"))
+    falls = F.coalesce(settled(F.col("similarity")) >= settled(later), F.lit(True))
+    listed = embeddings.rated_genre_lists(star.titles, star.ratings).select("tconst", "genres")
+    crowded = listed.groupBy("genres").agg((F.count("*") > 10).alias("crowded"))
+    checked = found.withColumn("falls", falls).groupBy("tconst").agg(
+        F.count_distinct("neighbour").alias("neighbours"),
+        (F.bool_and("falls") & (F.max("rank") == F.count("*"))).alias("in_order"),
+        F.count_if(F.col("neighbour") == F.col("tconst")).alias("itself"),
+        F.min("similarity").alias("least"),
+    )
+    joined = checked.join(listed, "tconst").join(crowded, "genres")
+    alike = F.when(F.col("crowded"), F.col("least") > 1 - 1e-6)
+    return joined.select("tconst", "neighbours", "in_order", "itself", F.coalesce(alike, F.lit(True)).alias("alike"))
+
+
+@query
+def title_recommendations_check(star: StarCatalogue) -> DataFrame:
+    """Recommendations for one title, half by genre: how many, whether in order and without itself, and the score recomputed."""
+    best = recommender.TitleRecommender().fit(star.titles, star.ratings).recommend("1", alpha=0.5)
+    scores = factors.one_user_scores(embeddings.rated_genre_lists(star.titles, star.ratings), "tconst", "averageRating")
+    both = best.join(scores.withColumnRenamed("cf_score", "closed"), "tconst")
+    blended = F.abs(F.col("score") - (0.5 * F.col("similarity") + 0.5 * F.col("closed"))) < 1e-9
+    # No title that is left out beats the last one: one as alike as can be, of the best rating there is.
+    top = F.max("closed").over(Window.partitionBy())
+    return both.withColumn("top", top).agg(
+        F.count("*").alias("titles"),
+        F.count_if(F.col("tconst") == "1").alias("itself"),
+        F.bool_and(blended).alias("blended"),
+        F.bool_and(F.col("score") <= 0.5 + 0.5 * F.col("top") + 1e-9).alias("bounded"),
+    )
+
+
 @query
 def als_scores(star: StarCatalogue) -> DataFrame:
     rated = embeddings.rated_genre_lists(star.titles, star.ratings)

@@ -236,3 +236,14 @@ def test_analyses_are_lazy(spark, small):
         assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_crew_changes_nothing_else(spark, small):
+    plain = genres.genre_popularity(small.titles, small.ratings)
+    # A second crew row of a title must not count it twice.
+    doubled = small.crew.unionByName(small.crew.where("tconst = 't1'"))
+    found = genres.genre_popularity(small.titles, small.ratings, crew=doubled)
+    assert rows(found.select(*plain.columns)) == rows(plain)
+    counts = {r.genre: (r.directed_titles, r.written_titles) for r in found.collect()}
+    # Of the dramas t1, t2, t5 and t8 the last has no director and t2 no writer.
+    assert counts["Drama"] == (3, 3)
