@@ -116,6 +116,28 @@ def gram_counts(docs: DataFrame, text_column: str = "text", lang_column: str = "
     return in_tasks(read, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def least_counts(counts: DataFrame, most: int) -> DataFrame:
+    """Per language the ``total`` of its counts and the ``least`` count that its ``most`` most frequent n-grams have.
+
+    Of equally frequent n-grams all or none are among them; ``least`` is null if already the first ones are too many.
+    N-grams are counted per count, those per band of counts, and only the band in which the limit lies is put in order.
+    """
+    band = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int").alias("band")
+    levels = counts.groupBy("lang", "n").agg(F.count("*").alias("grams")).select("lang", "n", "grams", band)
+    bands = levels.groupBy("lang", "band").agg(F.sum("grams").alias("grams"))
+    falling = Window.partitionBy("lang").orderBy(F.desc("band"))
+    reached = bands.withColumn("reached", F.sum("grams").over(falling)).where(F.col("reached") > most)
+    # One row per language on the right.
+    edge = reached.groupBy("lang").agg(F.max(F.struct(F.col("band").alias("edge"), (F.col("reached") - F.col("grams")).alias("before"))).alias("e"))
+    known = levels.join(F.broadcast(edge.select("lang", "e.*")), "lang", "left")
+    above = F.min(F.when(F.col("edge").isNull() | (F.col("band") > F.col("edge")), F.col("n"))).alias("above")
+    whole = known.groupBy("lang").agg(F.sum(F.col("n") * F.col("grams")).alias("total"), above)
+    inside = Window.partitionBy("lang").orderBy(F.desc("n"))
+    fine = known.where("band = edge").withColumn("reached", F.col("before") + F.sum("grams").over(inside))
+    last = fine.where(F.col("reached") <= most).groupBy("lang").agg(F.min("n").alias("last"))
+    return whole.join(F.broadcast(last), "lang", "left").select("lang", "total", F.coalesce("last", "above").alias("least"))
+
+
 def fit(
     docs: DataFrame,
     text_column: str = "text",
@@ -132,11 +154,7 @@ def fit(
     Without any labelled row there are no languages.
     """
     counts = stored(docs.sparkSession, gram_counts(docs, text_column, lang_column), "gram-counts")
-    levels = counts.groupBy("lang", "n").agg(F.count("*").alias("grams"))
-    falling = Window.partitionBy("lang").orderBy(F.desc("n"))
-    reached = levels.withColumn("reached", F.sum("grams").over(falling))
-    least = F.min(F.when(F.col("reached") <= most, F.col("n"))).alias("least")
-    cuts = reached.groupBy("lang").agg(F.sum(F.col("n") * F.col("grams")).alias("total"), least)
+    cuts = least_counts(counts, most)
     best = counts.join(F.broadcast(cuts), "lang").where(F.col("n") >= F.col("least"))
     rows = best.select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
     table = rows.toArrow()

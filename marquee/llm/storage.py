@@ -11,12 +11,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.sources.catalogue import join_path
+from marquee.sources.scratch import shared_base
+
 _WRITTEN: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/llm"
+    return join_path(shared_base(spark), "llm")
 
 
 def stored(spark: SparkSession, frame: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
