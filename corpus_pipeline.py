@@ -14,11 +14,22 @@ from marquee.llm.storage import stored
 from marquee.operators.skew import spread_join
 
 
+#: A text of so many characters has enough n-grams for its language to be known by one of them at least.
+TELLING = 20
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
-    """Documents that are null or without letters go; the filters are learned from the rows with a language."""
+    """Documents that are null or without letters go, and those of which no language has an n-gram, unless they are shorter than 20 characters.
+
+    The filters are learned from the rows with a language.
+    """
     filters = language_id.fit(docs.where(F.col("lang").isNotNull()))
-    predicted = language_id.predict(docs, filters)
-    return predicted.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    # Columns of the names that the prediction adds are kept apart.
+    apart = {c: fresh(docs, c) for c in ("lang_pred", "score") if c in docs.columns}
+    predicted = language_id.predict(docs.withColumnsRenamed(apart), filters)
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & ((F.col("score") > 0) | (F.char_length("text") < TELLING))
+    kept = predicted.where(known).drop("lang_pred", "score")
+    return kept.withColumnsRenamed({new: old for old, new in apart.items()}).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
@@ -52,19 +63,23 @@ def fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
+def row_hash() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
 def with_mark(docs: DataFrame, mark: str) -> DataFrame:
     """Adds a whole number that two rows share if they share id and text, and only then.
 
     It is a hash of 64 bits.  Of so many documents that some of these meet, those that do are told apart by a checksum of 256 bits: n
     documents have about n * n / 2 ** 65 such hashes, three of ten thousand million, which is what is broadcast.
     """
-    hashed, checksum = F.xxhash64("doc_id", "text"), fresh(docs, "checksum")
+    hashed, checksum = row_hash(), fresh(docs, "checksum")
     own = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col("text").isNull(), F.coalesce("text", F.lit("")))
     both = docs.select(hashed.alias("hash"), F.sha2(own, 256).alias("sum"))
     met = both.groupBy("hash").agg(F.min("sum").alias("low"), F.max("sum").alias("high")).where("low <> high")
     met = F.broadcast(stored(docs.sparkSession, met.select(F.col("hash").alias(mark), F.lit(True).alias(checksum)), "clashes"))
     told = F.when(F.col(checksum), F.xxhash64(F.col(mark), F.sha2(own, 256))).otherwise(F.col(mark))
-    return docs.withColumn(mark, hashed).join(met, mark, "left").withColumn(mark, told).drop(checksum)
+    return docs.withColumn(mark, hashed).join(met, mark, "left").withColumn(mark, told).select(*docs.columns, mark)
 
 
 #: Test passages of over so many words are cut out of documents that stay.
@@ -86,8 +101,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     what = F.col(fresh(marked, "what"))
     stays = joined.where(~F.coalesce(what["gone"], F.lit(False)))
     text = F.when(what.isNotNull(), decontamination.cut_out(F.col("text"), what["cuts"])).otherwise(F.col("text"))
-    count = F.when(what.isNotNull(), F.char_length(text).cast("long")).otherwise(F.col("n_chars"))
-    return stays.withColumns({"text": text, "n_chars": count}).select(*docs.columns)
+    count = F.when(what.isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    # One after the other: a count beside the new text would partly read the old one.
+    return stays.withColumn("text", text).withColumn("n_chars", count).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
