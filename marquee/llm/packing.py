@@ -343,7 +343,9 @@ def pack_documents(
 ) -> DataFrame:
     """All documents in sequences of at most ``capacity`` tokens; one row per piece.
 
-    The texts are encoded once: the pieces, without their ids, are written to the shared folder.
+    The texts are encoded once: the pieces, without their ids, are written to the shared folder.  A null or empty text is a
+    piece of the end token alone.  Ids may be null or repeated: every row is packed.  Texts of any length are cut into pieces
+    of ``capacity`` tokens, of which the first may be shorter.  No documents give no rows, and other columns are left out.
     """
     made = cut(docs, tokenizer, ranks, pattern, capacity, end_id, id_column, text_column)
     pieces = stored(spark, made, "pieces")

@@ -73,7 +73,9 @@ def emails(text: str) -> Iterator[Span]:
 def base_spans(text: str) -> list[Span]:
     """All strings of the fixed forms, by start and then kind."""
     found = list(emails(text))
-    found += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m[0].split("."))]
+    # Leading zeros may be very many.
+    short = lambda m: [p.lstrip("0") or "0" for p in m[0].split(".")]
+    found += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p) < 4 and int(p) < 256 for p in short(m))]
     for m in _CARD.finditer(text):
         digits = _digits(m[0])
         if 14 <= len(digits) <= 19 and luhn(digits):
@@ -206,6 +208,10 @@ def find_pii(
     added; both are ``kind:start:end`` in code points, by start and then kind, joined by commas.
     A null or empty text has none.  Ids may be null or repeated: each row gives a row.  Other
     columns are left out.  The texts are read once; the few strings found go to the shared folder.
+
+    Texts are taken whole, whatever their length.  What contexts can add has one of the loose forms of :func:`loose_spans`; a context
+    is one or two words within ``CONTEXT_CHARS`` characters before a string, of a longer word its end.  The driver goes on as
+    long as a round believes an instance anew, so there are at most as many rounds as instances, and mostly a few.
     """
     found = stored(spark, occurrences(docs, id_column, text_column).withColumn("row", F.monotonically_increasing_id()), "pii")
     each = found.select("row", F.inline("graph"))

@@ -143,6 +143,11 @@ def test_licences_equal_plain_scores(spark):
     assert seen == {True, False}
 
 
+def test_addresses_with_very_many_zeros():
+    long = "0" * 6000
+    assert pii.base_spans(f"x {long}1.{long}.0.255 y {long}256.1.1.1") == [("ip", 2, 12010)]
+
+
 # Texts of megabytes
 
 
