@@ -79,6 +79,27 @@ def longer_chunks(rows: DataFrame) -> DataFrame:
     return _keyed(rows.withColumn("part", F.explode(parts)).select("word", "n", "more", "length", "part.low", "part.high"))
 
 
+#: Words of more letters are verified by where they first differ, as an edit distance takes the square of their length.
+DISTANCE_LETTERS = 64
+
+
+def one_edit(a: Column, b: Column, length: Column, more: Column) -> Column:
+    """Whether ``a`` of that length becomes ``b`` (longer by ``more``, 0 or 1) by one edit."""
+
+    def halved(state: Column, step: Column) -> Column:  # noqa: ARG001
+        middle = F.floor((state["low"] + state["high"] + 1) / 2).cast("int")
+        alike = F.substring(a, F.lit(1), middle) == F.substring(b, F.lit(1), middle)
+        return F.when(alike, F.struct(middle.alias("low"), state["high"].alias("high"))).otherwise(
+            F.struct(state["low"].alias("low"), F.greatest(state["low"], middle - 1).alias("high"))
+        )
+
+    # The letters that both begin with, by halving.
+    begun = F.struct(F.lit(0).alias("low"), length.cast("int").alias("high"))
+    same = F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(length.cast("double") + 1)).cast("int")), begun, halved, lambda s: s["low"])
+    rest = F.substr(a, same + F.when(more == 1, 1).otherwise(2)) == F.substr(b, same + 2)
+    return F.when(length <= DISTANCE_LETTERS, F.levenshtein(a, b, 1) == 1).otherwise(rest)
+
+
 def near_words(spark: SparkSession, words: DataFrame, group: int = GROUP) -> DataFrame:
     """``a, n_a, b, n_b`` for any two near words, once; ``words`` has distinct ``word`` and ``n``.
 
@@ -92,10 +113,13 @@ def near_words(spark: SparkSession, words: DataFrame, group: int = GROUP) -> Dat
         # A single unsettled letter: only true neighbours meet, as many as there are letters.
         small = (F.col("size") <= group) | (F.col("high") - F.col("low") <= 1)
         some = level.where(small)
-        shorter = some.where("more = 0").select("key", F.col("word").alias("a"), F.col("n").alias("n_a"))
+        shorter = some.where("more = 0").select("key", "length", F.col("word").alias("a"), F.col("n").alias("n_a"))
         other = some.select("key", "more", F.col("word").alias("b"), F.col("n").alias("n_b"))
         near = (F.col("more") == 1) | (F.col("a") < F.col("b"))
-        pairs = shorter.join(other, "key").where(near & (F.levenshtein("a", "b", 1) == 1)).select("a", "n_a", "b", "n_b")
+        # Keys are hashes, so lengths are compared, too.
+        fits = F.char_length("b") == F.col("length") + F.col("more")
+        verified = one_edit(F.col("a"), F.col("b"), F.col("length"), F.col("more"))
+        pairs = shorter.join(other, "key").where(near & fits & verified).select("a", "n_a", "b", "n_b")
         found = pairs if found is None else found.unionByName(pairs)
         large = level.where(~small)
         if large.isEmpty():

@@ -203,6 +203,18 @@ def test_masking():
     assert pii.masked(None, "") == ""
 
 
+def test_masking_by_columns_equals_the_plain_one(spark):
+    draw = random.Random(3)
+    rows = [(1, "ab cd ef", "email:0:2,ip:1:4,card:6:8"), (2, "abc", ""), (3, None, ""), (4, "é😀x", "phone:1:2"), (5, "abc", "ip:0:3")]
+    for k in range(200):
+        text = "".join(draw.choices("ab é😀", k=draw.randint(5, 40)))
+        edges = sorted((draw.choice(pii.KINDS), *sorted(draw.sample(range(len(text) + 1), 2))) for _ in range(draw.randint(1, 6)))
+        rows.append((10 + k, text, pii.written(sorted(edges, key=lambda s: (s[1], pii.KINDS.index(s[0]))))))
+    frame = spark.createDataFrame(rows, "k int, text string, spans string")
+    found = {r.k: r.m for r in frame.select("k", pii.mask_column(F.col("text"), F.col("spans")).alias("m")).collect()}
+    assert found == {k: None if text is None else pii.masked(text, spans) for k, text, spans in rows}
+
+
 # Sharding
 
 
