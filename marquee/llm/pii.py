@@ -124,7 +124,7 @@ def occurrences(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 22):
+        for batch in slices(batches, "text"):
             base, graph, counts = [], [], []
             for text in batch.column(1).to_pylist():
                 text = text or ""
@@ -249,12 +249,17 @@ def masked(text: str | None, spans: str) -> str:
 
 
 def mask_column(text: Column, spans: Column) -> Column:
-    """``masked`` as a column."""
-
-    @F.pandas_udf("string")
-    def mask(texts, found):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        return pd.Series([masked(t, s) for t, s in zip(texts, found, strict=True)])
+    """``masked`` as a column, from functions of columns only."""
+    begun = F.struct(F.lit("").alias("kept"), F.lit(0).cast("long").alias("at"))
+
+    def step(state: Column, span: Column) -> Column:
+        part = F.split(span, ":")
+        kind, start, end = part[0], part[1].cast("long"), part[2].cast("long")
+        between = F.substring(text, (state["at"] + 1).cast("int"), (start - state["at"]).cast("int"))
+        grown = F.concat(state["kept"], between, F.lit("<"), F.upper(kind), F.lit(">"))
+        return F.when(end <= state["at"], state).otherwise(
+            F.struct(F.when(start >= state["at"], grown).otherwise(state["kept"]).alias("kept"), end.alias("at"))
+        )
 
-    return F.when(spans == "", text).otherwise(mask(text, spans))
+    whole = F.aggregate(F.split(spans, ","), begun, step, lambda s: F.concat(s["kept"], F.substr(text, (s["at"] + 1).cast("int"))))
+    return F.when(spans == "", text).otherwise(whole)

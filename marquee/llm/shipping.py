@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -36,6 +37,14 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Returns memory that is free to the system, from Arrow and, where there is such a call, from the C library."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 #: Texts are long, so fewer rows than Spark's usual ten thousand go to a Python worker at once.
 ROWS_AT_ONCE = 500
 _ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -54,6 +63,6 @@ def in_tasks(frame: DataFrame, work: Callable, schema: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work(batches)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return frame.mapInArrow(run, schema)
