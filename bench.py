@@ -47,8 +47,6 @@ LATER = [
     "similar_titles_topk",
     "table_schemas",
     "similar_items_lsh",
-    "als_recommendations",
-    "votes_prediction",
     "embedding_correlation",
     "price_quantile_sketches",
     "rating_density",
