@@ -33,7 +33,7 @@ from marquee.llm.batches import buffer_of, slices
 from marquee.llm.components import components
 from marquee.llm.numbering import numbered
 from marquee.llm.shipping import in_tasks, ship
-from marquee.llm.storage import stored
+from marquee.llm.storage import drop, stored
 from marquee.llm.wordhash import gram_hashes, mixed, space_words, word_hashes, word_spans, words_per_text
 
 #: A shingle in more documents than this has a long list.
@@ -71,6 +71,16 @@ def _bounds(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def planes(value: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers, upper halves first: those repeat, so that a shuffle's compression takes about half of the bytes."""
+    return (value >> np.uint32(16)).astype(np.uint16).tobytes() + value.astype(np.uint16).tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    high, low = np.frombuffer(raw, np.uint16).reshape(2, -1).astype(np.uint32)
+    return (high << np.uint32(16)) | low
+
+
 def long_lists(read: DataFrame, width: int, buckets: int) -> np.ndarray:
     """The leading 32 bits of the most frequent shingles, sorted.
 
@@ -95,7 +105,7 @@ def long_lists(read: DataFrame, width: int, buckets: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(some.astype(np.int32)),
-                    pa.array([value[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
+                    pa.array([planes(value[cuts[b] : cuts[b + 1]]) for b in some], pa.binary()),
                     pa.array([small[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
                 ],
                 ["bucket", "value", "count"],
@@ -104,7 +114,7 @@ def long_lists(read: DataFrame, width: int, buckets: int) -> np.ndarray:
                 bucket = ((extra.astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
                 full = [bytes([255])] * len(extra)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket), pa.array([v.tobytes() for v in extra], pa.binary()), pa.array(full, pa.binary())],
+                    [pa.array(bucket), pa.array([planes(extra[k : k + 1]) for k in range(len(extra))], pa.binary()), pa.array(full, pa.binary())],
                     ["bucket", "value", "count"],
                 )
 
@@ -119,7 +129,7 @@ def long_lists(read: DataFrame, width: int, buckets: int) -> np.ndarray:
             yield from flush()
 
     def total(key: tuple, table: pa.Table) -> pa.Table:  # noqa: ARG001
-        value = np.frombuffer(b"".join(table["value"].to_pylist()), np.uint32)
+        value = np.concatenate([from_planes(raw) for raw in table["value"].to_pylist()])
         count = np.frombuffer(b"".join(table["count"].to_pylist()), np.uint8)
         found, back = np.unique(value, return_inverse=True)
         sums = np.bincount(back, count).astype(np.int64)
@@ -128,7 +138,7 @@ def long_lists(read: DataFrame, width: int, buckets: int) -> np.ndarray:
 
     sent = in_tasks(read, send, "bucket int, value binary, count binary")
     counted = sent.groupBy("bucket").applyInArrow(total, "value long, n long")
-    best = counted.orderBy(F.desc("n"), "value").limit(KNOWN_LONG).select("value").toArrow()
+    best = stored(read.sparkSession, counted.orderBy(F.desc("n"), "value").limit(KNOWN_LONG).select("value"), "frequent").toArrow()
     return np.sort(np.asarray(best["value"]).astype(np.uint32))
 
 
@@ -357,14 +367,19 @@ def near_duplicates(
         .groupBy(*equal)
         .agg(F.min("id").alias("node"), F.first("rare").alias("rare"), F.first("often").alias("often"))
     )
-    classes = stored(spark, classes, "classes")
-    clusters = components(spark, candidates(classes, threshold))
+    offering = stored(spark, classes, "offering")
+    # What the classes offer is read once more, for the candidates; later steps need only the rest.
+    slim = stored(spark, signed.select("id", *equal), "sizes")
+    drop(spark, signed)
+    classes = stored(spark, offering.select(*equal, "node"), "classes")
+    clusters = components(spark, candidates(offering, threshold))
+    drop(spark, offering)
     grouped = stored(spark, clusters.join(classes.select("node", "n"), "node"), "clusters")
     sets = wanted_sets(spark, read, grouped.select("node"), width)
     roots = components(spark, links(grouped, sets, threshold))
     labelled = classes.select(*equal, "node").join(roots, "node", "left")
     labelled = labelled.select(*equal, F.coalesce("root", "node").alias("label"))
-    return signed.select("id", *equal).join(labelled, equal, "left").select(
+    return slim.join(labelled, equal, "left").select(
         F.col("id").cast(docs.schema[id_column].dataType).alias(id_column),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("label", "id")).alias("component_id"),

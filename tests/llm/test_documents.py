@@ -2,7 +2,9 @@
 
 import random
 import re
+import time
 from collections import Counter
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
@@ -12,6 +14,7 @@ from brute import contamination, fixed_forms, near_duplicates
 from pyspark.sql import functions as F
 
 from marquee.llm import components, decontamination, jaccard_join, language_id, licenses, numbering, pii, sharding
+from marquee.llm.storage import stored
 
 ODD = [(0, None), (1, ""), (2, " \n "), (3, "a"), (4, "a"), (5, "a b"), (6, "A  b"), (7, "word" * 5000), (8, "b c " * 4000)]
 
@@ -353,3 +356,25 @@ def test_licences_wrapped_over_lines(spark, model, end):
     assert found == Counter(
         {("bsd", 3, "bsd"): 1, ("isc", 1, "isc"): 1, ("gpl", 1, "gpl"): 1, ("long", 1, "isc"): 1, ("parted", 0, ""): 1, ("mit", 2, "apache,mit"): 2}
     )
+
+
+def test_planes_hold_the_numbers():
+    some = np.unique(np.random.default_rng(2).integers(0, 1 << 32, 5000, dtype=np.uint32))
+    for value in (some, some[:1], some[:0]):
+        assert jaccard_join.from_planes(jaccard_join.planes(value)).tolist() == value.tolist()
+
+
+def test_shuffles_go_when_a_table_is_written(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    local = [Path(str(f)) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for top in local for f in top.rglob("shuffle_*")}
+    there = files()
+    kept = stored(spark, spark.range(50_000).groupBy((F.col("id") % 999).alias("k")).count(), "swept")
+    # Files are deleted beside the session.
+    for _ in range(100):
+        if not files() - there:
+            break
+        time.sleep(0.1)
+    assert not files() - there
+    assert kept.count() == 999 and spark.conf.get(setting) == before
