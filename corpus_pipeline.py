@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import decontamination, jaccard_join, language_id, pii, queries
-from marquee.llm.storage import stored
+from marquee.llm.storage import drop, stored
 from marquee.operators.skew import spread_join
 
 
@@ -143,5 +143,7 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = queries.read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(spark, stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        last, docs = docs, stored(spark, stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        # Only what a stage has written is dropped, never the given table.
+        drop(spark, last)
     return STAGES[-1][1](spark, docs, sf_dir)
