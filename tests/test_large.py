@@ -1,15 +1,19 @@
 """Operators for tables too large for all pairs, all values or all columns at once."""
 
 import math
+import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from marquee.models import factors, features, selection
+from marquee.models import factors, features, predictor, selection
 from marquee.operators import density, gram, lsh, quantiles
 from marquee.operators.neighbours import nearest_items
+from marquee.operators.products import largest_products
 
 
 @pytest.fixture(scope="module")
@@ -214,3 +218,60 @@ def test_density_equals_the_formula(spark):
         assert density.density_curve(frame.where("NOT isnan(x)").where(few).where("x < 1e9"), "x").count() == 0
     with pytest.raises(ValueError):
         density.density_curve(frame, "x", points=1)
+
+
+def test_largest_products_equal_all_products():
+    rng = np.random.default_rng(8)
+    left, right = np.round(rng.random((40, 3)), 1), np.round(rng.random((333, 3)), 1)
+    hidden = sorted({(int(r), int(c)) for r, c in zip(rng.integers(0, 40, 900), rng.integers(0, 333, 900), strict=True)})
+    row, column = (np.array(side) for side in zip(*hidden, strict=True))
+    products = left @ right.T
+    products[row, column] = -np.inf
+    for count in (1, 5, 400):
+        found = [(int(r), int(c)) for rows, places, _ in largest_products(count)(left, right, row, column) for r, c in zip(rows, places, strict=True)]
+        wanted = [(r, int(c)) for r in range(40) for c in np.argsort(-products[r].round(9), kind="stable")[:count]]
+        assert found == wanted
+
+
+def test_blocks_of_nearest_items_follow_different_vectors(spark):
+    """Many items of few vectors must not make many blocks, and only keys of them move."""
+    frame = spark.range(3000).select("id", F.array((F.col("id") % 3).cast("double"), F.lit(1.0)).alias("v"))
+    found = nearest_items(frame, "id", "v", 3, block_rows=10)
+    dealt = [int(n) for n in re.findall(r"pmod\(xxhash64\(item#\w+, 42\), (\d+)\)", found._jdf.queryExecution().optimizedPlan().toString())]
+    assert dealt and min(dealt) <= 8
+    assert found.count() == 9000 and found.where("abs(similarity - 1) > 1e-9").count() == 0
+
+
+def counted_rows(spark, frame):
+    """The frame, and how many of its rows have been computed so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def mark(value):
+        seen.add(1)
+        return value
+
+    return frame.withColumn("averageRating", mark.asNondeterministic()("averageRating")), seen
+
+
+def test_forests_compute_their_rows_once(spark, additive):
+    frame, seen = counted_rows(spark, additive)
+    selection.TitleForest("averageRating", ["size"], trees=[2], depths=[2], folds=2).fit(frame)
+    assert 600 <= seen.value <= 1200
+    frame, seen = counted_rows(spark, additive)
+    predictor.RatingPredictor(trees=2, depth=2).fit(frame)
+    assert 0 < seen.value <= 1200
+
+
+def test_shuffles_of_a_factorisation_go_with_its_iterations(spark):
+    local = [Path(str(f)) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffles = lambda: {f.name.split("_")[1] for top in local for f in top.rglob("shuffle_*")}
+    rated = spark.range(400).select((F.col("id") % 20).alias("u"), F.floor(F.col("id") / 20).alias("i"), (F.col("id") % 7).cast("double").alias("r"))
+    before = shuffles()
+    fitted = factors.fit_factors(rated, "u", "i", "r", rank=2, iterations=8, blocks=2)
+    for _ in range(100):
+        if len(shuffles() - before) <= 12:
+            break
+        time.sleep(0.1)
+    assert len(shuffles() - before) <= 12
+    assert fitted.users.count() == 20
