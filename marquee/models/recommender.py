@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import cosine, settled
-from marquee.models.embeddings import EMBEDDING, embed, fit_genre_vectors, rated_genre_lists
+from marquee.models.embeddings import EMBEDDING, WORDS, embed, fit_genre_vectors, rated_genre_lists
 from marquee.models.factors import one_user_scores
 from marquee.operators.neighbours import nearest_items
 from marquee.operators.shaping import top_rows
+from marquee.sources.scratch import stored_once
 
 
 def similarity_to(items: DataFrame, item: str, vector: str, wanted: object) -> DataFrame:
@@ -43,8 +44,10 @@ class TitleRecommender:
     def fit(self, titles: DataFrame, ratings: DataFrame) -> "TitleRecommender":
         rated = rated_genre_lists(titles, ratings, self.movies_only)
         model = fit_genre_vectors(rated, self.size, self.seed, self.parts)
-        self.items = embed(model, rated).select("tconst", "primaryTitle", EMBEDDING)
-        self.scores = one_user_scores(rated, "tconst", "averageRating")
+        # What follows reads the titles several times, so their joins run once for all.
+        kept = stored_once(rated.select("tconst", "primaryTitle", WORDS, "averageRating"), "rated-titles")
+        self.items = embed(model, kept).select("tconst", "primaryTitle", EMBEDDING)
+        self.scores = one_user_scores(kept, "tconst", "averageRating")
         return self
 
     def _fitted(self) -> tuple[DataFrame, DataFrame]:

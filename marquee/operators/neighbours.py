@@ -6,70 +6,39 @@ from collections.abc import Callable
 from math import ceil
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import dot, settled
+from marquee.operators.products import largest_products, matrix_of
 from marquee.operators.skew import spread_join
 
-CELLS_AT_ONCE = 8_000_000
 SMALL_BLOCK = 1000
-# More than the rounding step that decides ties.
-MARGIN = 1e-8
 
 
-def _best_in_block(count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _best_in_block(count: int) -> Callable[[pa.Table], pa.Table]:
     """For each asking vector of a block the ``count`` most similar items offered in it.
 
     All helpers are local, so that tasks need not import this package.
     """
-
-    def unit(vectors: pd.Series) -> np.ndarray:
-        matrix = np.stack(vectors.to_numpy()).astype("float64")
-        return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-
-    def reached(similarity: np.ndarray, kept: int) -> np.ndarray:
-        """Per row, a value that at least ``kept`` entries reach.
-
-        The best of each of several runs of columns are such entries, and far
-        fewer than all; their ``kept``-th best is a close floor.
-        """
-        rows, columns = similarity.shape
-        width = max(1, min(64, columns // kept))
-        runs = columns // width
-        best = similarity[:, : runs * width].reshape(rows, runs, width).max(axis=2)
-        return np.partition(best, -kept, axis=1)[:, -kept]
-
-    def best(block: pd.DataFrame) -> pd.DataFrame:
-        left, right = block[block["asks"]], block[~block["asks"]]
-        if left.empty or right.empty:
-            return pd.DataFrame({"group": left["item"][:0], "item": right["item"][:0], "similarity": []})
-        right = right.sort_values("item", ignore_index=True)
-        columns = unit(right["vector"]).T
-        kept = min(count, len(right))
-        step = max(1, CELLS_AT_ONCE // len(right))
-        found = []
-        for start in range(0, len(left), step):
-            part = left.iloc[start : start + step]
-            similarity = unit(part["vector"]) @ columns
-            similarity[~np.isfinite(similarity)] = -np.inf
-            rows, places = np.nonzero(similarity >= reached(similarity, kept)[:, None] - MARGIN)
-            value = similarity[rows, places]
-            # ``places`` follow the item order, so they settle ties.
-            order = np.lexsort((places, -value.round(9), rows))
-            rows, places, value = rows[order], places[order], value[order]
-            first = np.arange(len(rows)) - np.searchsorted(rows, rows) < kept
-            found.append(
-                pd.DataFrame(
-                    {
-                        "group": part["item"].to_numpy()[rows[first]],
-                        "item": right["item"].to_numpy()[places[first]],
-                        "similarity": value[first],
-                    }
-                )
-            )
-        return pd.concat(found, ignore_index=True)
+    matrix, largest = matrix_of(), largest_products(count)
+
+    def unit(table: pa.Table) -> np.ndarray:
+        vectors = matrix(table)
+        return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+    def best(block: pa.Table) -> pa.Table:
+        left, right = block.filter(block["asks"]), block.filter(pc.invert(block["asks"])).sort_by("item")
+        asking, offered = left["item"].combine_chunks(), right["item"].combine_chunks()
+        parts = [pa.table({"group": asking[:0], "item": offered[:0], "similarity": pa.array([], pa.float64())})]
+        if len(asking) and len(offered):
+            parts += [
+                pa.table({"group": asking.take(pa.array(rows)), "item": offered.take(pa.array(places)), "similarity": pa.array(value)})
+                for rows, places, value in largest(unit(left), unit(right))
+            ]
+        return pa.concat_tables(parts)
 
     return best
 
@@ -85,11 +54,12 @@ def nearest_items(
 
     Equal vectors are scored once.  A vector's best items hold at most
     ``count + 1`` items of any other vector, so that many stand for all its
-    copies and nothing is lost.  The vectors are dealt into blocks of about
+    copies and nothing is lost.  Items move by two hashes of their vector, 128 bits in all;
+    only different vectors move themselves.  Those that stand are dealt into blocks of about
     at most ``block_rows``; each pair of blocks is one matrix product in one
     task and hands on only the best items of each vector.  A vector whose squared
     length is zero, infinite or not a number has no direction: it gets no
-    neighbours and is none.  Counting the items, for the number of blocks, runs a job.
+    neighbours and is none.  Counting the vectors that stand, for the number of blocks, runs a job.
     """
     spare = count + 1
     numbers = F.transform(vector, lambda x: x.cast("double") + F.lit(0.0))
@@ -98,15 +68,19 @@ def nearest_items(
     pointed = (
         items.select(F.col(item).alias("item"), numbers.alias("vector"))
         .where(F.col("item").isNotNull() & (squared > 0) & (squared < F.lit(float("inf"))))
-        .withColumn("key", F.xxhash64("vector"))
+        .withColumns({"key": F.xxhash64("vector"), "check": F.xxhash64(F.lit(1), "vector")})
     )
-    rows = items.count()
+    same = ["key", "check"]
+    copies = pointed.groupBy(*same).agg(F.count("*").alias("n"))
+    rows = copies.agg(F.coalesce(F.sum(F.least("n", F.lit(spare))), F.lit(0))).first()[0]
     tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     busy = min(ceil(tasks**0.5), ceil(rows / SMALL_BLOCK))
     blocks = max(1, busy, ceil(rows / block_rows))
 
-    copies = Window.partitionBy("key", "vector").orderBy("item")
-    standing = pointed.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= spare)
+    named = pointed.select("item", *same)
+    in_order = Window.partitionBy(*same).orderBy("item")
+    standing = named.withColumn("copy", F.row_number().over(in_order)).where(F.col("copy") <= spare)
+    standing = standing.join(pointed.select(*same, "vector").distinct(), same)
 
     def dealt(name: str):
         return F.pmod(F.xxhash64(name), F.lit(blocks)).cast("int")
@@ -119,7 +93,7 @@ def nearest_items(
     scored = (
         asking.unionByName(offered)
         .groupBy("row", "column")
-        .applyInPandas(_best_in_block(spare), f"group {kind}, item {kind}, similarity double")
+        .applyInArrow(_best_in_block(spare), f"group {kind}, item {kind}, similarity double")
     )
     ranking = Window.partitionBy("group").orderBy(F.desc(settled(F.col("similarity"))), "item")
     best = (
@@ -128,12 +102,12 @@ def nearest_items(
         .groupBy("group")
         .agg(F.sort_array(F.collect_list(F.struct("place", "item", "similarity"))).alias("best"))
     )
-    groups = first.select(F.col("item").alias("group"), "key", F.col("vector").alias("same"))
-    lists = groups.join(best, "group").select("key", "same", "best")
+    groups = first.select(F.col("item").alias("group"), "key", F.col("check").alias("_check"))
+    lists = groups.join(best, "group").select("key", "_check", "best")
     others = F.filter("best", lambda one: one["item"] != F.col("item"))
     return (
-        spread_join(pointed, lists, "key", left_by=["item"])
-        .where(F.col("vector") == F.col("same"))
+        spread_join(named, lists, "key", left_by=["item"])
+        .where(F.col("check") == F.col("_check"))
         .select("item", F.posexplode(F.slice(others, 1, count)).alias("at", "one"))
         .select(
             F.col("item").alias(item),
