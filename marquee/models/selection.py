@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marquee.functions.columns import listed
 from marquee.models.features import fit_vocabulary, multi_hot
 from marquee.models.predictor import PREDICTION
+from marquee.sources.scratch import stored_once
 
 _TERMS, _MARKS, _FEATURES = "_genre_terms", "_genre_marks", "_features"
 
@@ -64,9 +65,10 @@ class TitleForest:
         return frame.withColumns({name: F.col(name).cast("double") for name in self.numbers})
 
     def fit(self, rated: DataFrame, key: str = "tconst") -> "TitleForest":
-        """Rows without a label take no part.  The prepared rows are read once per trial and fold, so they are stored before."""
+        """Rows without a label take no part.  The rows are read for medians, terms and every fold, so they are stored before."""
         usable = self._typed(rated.where(F.col(self.label).isNotNull()))
         usable = usable.withColumn("_label", F.col(self.label).cast("double")).withColumn("_fold", fold_of(key, self.folds))
+        usable = stored_once(usable.select("genres", *(n for n in self.numbers if n != "genres"), "_label", "_fold"), "forest-rows")
         preparing = self._preparing(usable).fit(usable)
         forest = RandomForestRegressor(featuresCol=_FEATURES, labelCol="_label", predictionCol=PREDICTION, seed=self.seed)
         grid = ParamGridBuilder().addGrid(forest.numTrees, self.trees).addGrid(forest.maxDepth, self.depths).build()
