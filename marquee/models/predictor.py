@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.models.features import VECTOR, genre_encoder, genre_indexer
+from marquee.sources.scratch import stored_once
 
 LABEL, PREDICTION = "averageRating", "prediction"
 
@@ -18,6 +21,10 @@ def split_by_key(frame: DataFrame, key: str = "tconst", train_percent: int = 80)
     return frame.where(slot < train_percent), frame.where(slot >= train_percent)
 
 
+#: The forest holds a number per genre list for every row, in the parts in which it gets the rows.
+ROWS_OF_A_TASK = 100_000
+
+
 class RatingPredictor:
     """Index, encode and fit; titles without genres or rating take no part in fitting.
 
@@ -34,7 +41,9 @@ class RatingPredictor:
 
     def fit(self, rated: DataFrame) -> "RatingPredictor":
         usable = rated.where(F.col("genres").isNotNull() & F.col(LABEL).isNotNull())
-        self.model = self.pipeline.fit(usable.select("genres", LABEL))
+        kept = stored_once(usable.select("genres", LABEL), "training-rows")
+        tasks = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.model = self.pipeline.fit(kept.repartition(max(tasks, ceil(kept.count() / ROWS_OF_A_TASK))))
         return self
 
     def predict(self, titles: DataFrame) -> DataFrame:
