@@ -275,3 +275,36 @@ def test_shuffles_of_a_factorisation_go_with_its_iterations(spark):
         time.sleep(0.1)
     assert len(shuffles() - before) <= 12
     assert fitted.users.count() == 20
+
+
+def test_products_are_left_out_by_length():
+    """Columns much shorter than the best ones are not multiplied; results stay those of all products."""
+    rng = np.random.default_rng(4)
+    left, right = rng.random((50, 4)), rng.random((9000, 4)) * np.repeat([0.01, 1.0, 0.02], 3000)[:, None]
+
+    class Counted(np.ndarray):
+        made = 0
+
+        def __matmul__(self, other):
+            Counted.made += len(self) * other.shape[1]
+            return np.asarray(self) @ np.asarray(other)
+
+    found = list(largest_products(3)(left.view(Counted), right))
+    products = left @ right.T
+    wanted = np.argsort(-products.round(9), axis=1, kind="stable")[:, :3]
+    assert (np.concatenate([np.asarray(places) for _, places, _ in found]).reshape(50, 3) == wanted).all()
+    assert 0 < Counted.made <= 50 * 4096
+
+
+def test_vectors_move_packed_and_in_few_blocks(spark):
+    """Copies of vectors grow with the root of the number of blocks, and a row holds many of them."""
+    assert factors._blocks(900_000, 1_200_000, 10, 48, 200_000) == (8, 6)
+    assert factors._blocks(0, 0, 10, 8, 200_000) == (8, 1) and factors._blocks(5, 900, 3, 8, 100) == (1, 9)
+    frame = spark.range(5000).select("id", F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("vector"))
+    packs = factors._packed(frame, "id", 5000, 2, "_row").collect()
+    assert len(packs) <= 4 and sorted(k for p in packs for k in p.keys) == list(range(5000))
+    assert all([float(k), 1.0] == p.vectors[2 * n : 2 * n + 2] for p in packs for n, k in enumerate(p.keys))
+    uneven = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "id long, vector array<double>")
+    with pytest.raises(Exception, match="vectors of different lengths"):
+        nothing = spark.createDataFrame([], "u long, i long")
+        factors.best_unseen(uneven.withColumnRenamed("id", "u"), uneven.withColumnRenamed("id", "i"), nothing, "u", "i").collect()
