@@ -106,6 +106,24 @@ def test_factors_recommend_what_fits_and_is_not_rated(spark, tmp_path):
     assert people.join(known, ["user", "item"]).count() == 0
 
 
+def test_only_pairs_of_the_asked_move(spark, monkeypatch):
+    """Rated pairs of keys nobody asked for are left behind before blocks are formed."""
+    known = spark.range(400).select((F.col("id") % 20).alias("user"), F.floor(F.col("id") / 20).alias("item"))
+    users, items = (known.select(c).distinct().withColumn("vector", F.array(F.col(c).cast("float"), F.lit(1.0).cast("float"))) for c in ("user", "item"))
+    model, moved = factors.Factors(users, items, known.where("(user + item) % 3 > 0"), "user", "item"), []
+    whole = factors.best_unseen
+    monkeypatch.setattr(factors, "best_unseen", lambda *given: moved.append(given[2].count()) or whole(*given))
+    found = model.audience(2, spark.createDataFrame([(3,), (3,), (99,), (None,)], "item int"))
+    assert moved == [13] and sorted(rows(found, "item", "user", "rank")) == [(3, 15, 2), (3, 18, 1)]
+    assert model.recommend(1, spark.createDataFrame([(4,)], "user int")).count() == 1 and moved == [13, 14]
+    assert model.recommend(1).count() == 20 and moved[2] == model.known.count()
+
+
+def test_blocks_of_a_factorisation_fill_the_cores():
+    assert [factors.factor_blocks(n, 12, 200) for n in (0, 3_600_000, 36_000_000, 216_000_000)] == [12, 12, 12, 60]
+    assert factors.factor_blocks(216_000_000, 12, 24) == 24 and factors.factor_blocks(100, 8, 5) == 5
+
+
 def test_vocabulary_and_marks(spark):
     frame = spark.createDataFrame([(["B", "A"],), (["B", "B"],), (["A", "C", ""],), (None,), ([None, "B"],)], "g array<string>")
     assert features.fit_vocabulary(frame, "g") == ["B", "A", "C"]
