@@ -48,7 +48,7 @@ def nearest_items(
     item: str,
     vector: str,
     count: int = 10,
-    block_rows: int = 50_000,
+    block_rows: int = 20_000,
 ) -> DataFrame:
     """The ``count`` most similar other items of every item, ties by item.
 
@@ -62,7 +62,9 @@ def nearest_items(
     neighbours and is none.  Counting the vectors that stand, for the number of blocks, runs a job.
     """
     spare = count + 1
-    numbers = F.transform(vector, lambda x: x.cast("double") + F.lit(0.0))
+    # Floats move as they are, half as long, and become doubles where they are multiplied.
+    number = "float" if items.schema[vector].dataType.simpleString() == "array<float>" else "double"
+    numbers = F.transform(vector, lambda x: x.cast(number) + F.lit(0.0).cast(number))
     # Spark takes NaN for larger than any number, so it fails the second test below.
     squared = dot(F.col("vector"), F.col("vector"))
     pointed = (

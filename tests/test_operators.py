@@ -1,4 +1,5 @@
 import math
+from inspect import signature
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import cosine, weighted_mean
+from marquee.operators import neighbours
 from marquee.operators.distribution import box_plot, correlation_matrix, histogram
 from marquee.operators.ids import dense_ids
 from marquee.operators.neighbours import nearest_items
@@ -180,6 +182,30 @@ def test_nearest_items_equals_brute_force(spark, block_rows):
     assert got == {name: best for name, best in want.items() if best}
 
 
+def test_nearest_items_move_floats_in_blocks_of_bounded_size(spark, monkeypatch):
+    """Floats are not doubled in length on the way, and give what their doubles give."""
+    random = np.random.default_rng(6)
+    many = [(n, [float(x) for x in v]) for n, v in enumerate(random.normal(size=(60, 4)).astype("float32"))] + [(60, [-0.0, 0.0, 0.0, 1.0]), (61, [0.0, 0.0, 0.0, 1.0])]
+    moved = []
+    whole = neighbours._best_in_block
+
+    def watched(count):
+        best = whole(count)
+
+        def block(table):
+            assert str(table.schema.field("vector").type.value_type) == "float" and len(table) < 62
+            return best(table)
+
+        moved.append(count)
+        return block
+
+    doubles = nearest_items(spark.createDataFrame(many, "id long, v array<double>"), "id", "v", 5, 9)
+    monkeypatch.setattr(neighbours, "_best_in_block", watched)
+    floats = nearest_items(spark.createDataFrame(many, "id long, v array<float>"), "id", "v", 5, 9)
+    assert sorted(rows(floats)) == sorted(rows(doubles)) and moved
+    assert signature(nearest_items).parameters["block_rows"].default <= 20_000
+
+
 def test_nearest_items_of_few(spark):
     frame = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0])], "id long, v array<double>")
     got = rows(nearest_items(frame, "id", "v", 10).orderBy("id", "rank"), "id", "neighbour", "rank")
