@@ -68,7 +68,10 @@ class TitleForest:
         """Rows without a label take no part.  The rows are read for medians, terms and every fold, so they are stored before."""
         usable = self._typed(rated.where(F.col(self.label).isNotNull()))
         usable = usable.withColumn("_label", F.col(self.label).cast("double")).withColumn("_fold", fold_of(key, self.folds))
-        usable = stored_once(usable.select("genres", *(n for n in self.numbers if n != "genres"), "_label", "_fold"), "forest-rows")
+        usable = usable.select("genres", *(n for n in self.numbers if n != "genres"), "_label", "_fold")
+        # Rows are few bytes, of which Spark would write few files and let few tasks read them; many small ones it deals to all cores.
+        tasks = int(usable.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        usable = stored_once(usable.repartition(tasks), "forest-rows")
         preparing = self._preparing(usable).fit(usable)
         forest = RandomForestRegressor(featuresCol=_FEATURES, labelCol="_label", predictionCol=PREDICTION, seed=self.seed)
         grid = ParamGridBuilder().addGrid(forest.numTrees, self.trees).addGrid(forest.maxDepth, self.depths).build()

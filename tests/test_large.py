@@ -119,11 +119,6 @@ def test_only_pairs_of_the_asked_move(spark, monkeypatch):
     assert model.recommend(1).count() == 20 and moved[2] == model.known.count()
 
 
-def test_blocks_of_a_factorisation_fill_the_cores():
-    assert [factors.factor_blocks(n, 12, 200) for n in (0, 3_600_000, 36_000_000, 216_000_000)] == [12, 12, 12, 60]
-    assert factors.factor_blocks(216_000_000, 12, 24) == 24 and factors.factor_blocks(100, 8, 5) == 5
-
-
 def test_vocabulary_and_marks(spark):
     frame = spark.createDataFrame([(["B", "A"],), (["B", "B"],), (["A", "C", ""],), (None,), ([None, "B"],)], "g array<string>")
     assert features.fit_vocabulary(frame, "g") == ["B", "A", "C"]
@@ -281,6 +276,19 @@ def test_forests_compute_their_rows_once(spark, additive):
     assert 0 < seen.value <= 1200
 
 
+def test_rows_of_a_forest_are_stored_for_all_tasks(spark, additive, monkeypatch):
+    """However few bytes the rows have, and however few tasks they come from, many tasks can read them."""
+    files, store = [], selection.stored_once
+
+    def watched(frame, purpose):
+        files.append(len(set(store(frame, purpose).inputFiles())))
+        return store(frame, purpose)
+
+    monkeypatch.setattr(selection, "stored_once", watched)
+    selection.TitleForest("averageRating", ["size"], trees=[2], depths=[2], folds=2).fit(additive.coalesce(1))
+    assert files == [8]
+
+
 def test_shuffles_of_a_factorisation_go_with_its_iterations(spark):
     local = [Path(str(f)) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
     shuffles = lambda: {f.name.split("_")[1] for top in local for f in top.rglob("shuffle_*")}
