@@ -84,6 +84,27 @@ def test_repeats_in_texts_of_megabytes(spark):
     assert (found[3].n_removed, found[3].spans) == (0, [])
 
 
+def test_halved_groups_are_right_and_leave_no_work_to_the_last_plan(spark):
+    rng = random.Random(9)
+    sides = [bytes(rng.choices(b"ab", k=30)) for _ in range(6)]
+    contents = sorted({rng.choice(sides)[: (cut := rng.randint(0, 30))] + rng.choice(sides)[cut:] + b"0123456789" + rng.choice(sides) for _ in range(60)})
+    whole = suffix_dedup.repeated_windows([(1, 0, 30, c) for c in contents], 40)
+    rows = [(7, k, 1, 0, 30, len(contents), bytearray(c)) for k, c in enumerate(contents)]
+    items = spark.createDataFrame(rows, "key long, context long, n long, low int, high int, size long, content binary")
+    found = suffix_dedup.windows_of(spark, items, 40, 2)
+    # Every round is written, so the plan that reads them does not grow by the work of each.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan
+    assert "Join" not in plan
+    distances = {k: set() for k in range(len(contents))}
+    for row in found.collect():
+        assert row.key == 7
+        for low, high in zip(row.ranges[::2], row.ranges[1::2], strict=True):
+            distances[row.context] |= set(range(low, high + 1))
+    assert list(distances.values()) == [{d for low, high in zip(r[::2], r[1::2], strict=True) for d in range(low, high + 1)} for r in whole]
+    assert any(whole)
+
+
 def test_repeats_of_nothing(spark):
     for rows in ([], [(None, None)], [(1, ""), (1, "")]):
         got = suffix_dedup.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string"))
