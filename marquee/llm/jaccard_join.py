@@ -13,7 +13,8 @@ all shingles.
    long lists go.  Classes whose offered shingles are partly frequent meet through long lists:
    they form clusters, without pairs.
 3. The sets of what is left are compared in blocks of a cluster by DivideSkip itself; links
-   within what is already linked are not looked for.
+   within what is already linked are not looked for.  Where the blocks of large clusters would
+   need many copies of the sets at once, they meet in several rounds.
 4. The links' connected components are the result.
 
 Elements are 64-bit hashes of shingles.
@@ -26,7 +27,7 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.batches import buffer_of, slices
@@ -38,13 +39,15 @@ from marquee.llm.wordhash import gram_hashes, mixed, space_words, word_hashes, w
 
 #: A shingle in more documents than this has a long list.
 LONG_LIST = 24
-#: So many of the most frequent shingles are known to the tasks (4 bytes each).  Rarer ones whose
-#: list is long all the same are found later, so that this only bounds memory.
-KNOWN_LONG = 1 << 19
+#: Bits at most that mark the shingles of long lists, which the tasks know, and bits for one of them where that is fewer.  One marked by
+#: chance goes late in the order, too, so that this bounds memory and changes no result.
+KNOWN_LONG, BITS_EACH = 1 << 28, 64
 #: Classes compared in one task are two blocks of this size at most.
 BLOCK = 256
 #: Bits that mark which documents' sets are wanted; documents marked by chance are left out later.
 MARKS = 1 << 24
+#: Copies of all compared sets, by their shingles, that a round of meeting blocks moves at most, if more than a single offset of blocks.
+COPIES = 3
 _DELTA = 1e-9
 
 
@@ -81,8 +84,21 @@ def from_planes(raw: bytes) -> np.ndarray:
     return (high << np.uint32(16)) | low
 
 
-def long_lists(read: DataFrame, width: int, buckets: int) -> np.ndarray:
-    """The leading 32 bits of the most frequent shingles, sorted.
+def bitmap(slots: DataFrame, bits: int) -> np.ndarray:
+    """``bits`` bits in words of 64, of which those in the column ``slot`` of whole numbers are set."""
+    words = slots.groupBy(F.shiftright("slot", 6).cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT)))").alias("bits"))
+    found = words.toArrow()
+    marks = np.zeros(-(-bits // 64), np.uint64)
+    marks[np.asarray(found["word"])] = np.asarray(found["bits"]).view(np.uint64)
+    return marks
+
+
+def is_set(marks: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (marks[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def long_lists(read: DataFrame, width: int, buckets: int) -> tuple[np.ndarray, int]:
+    """Marks of all shingles with a long list, and the number of their bits, over which the leading 32 bits of a shingle are dealt in order.
 
     Every task counts its documents' shingles and sends them sorted, in ``buckets`` by value; the
     counts of a bucket are summed in one task.  Two shingles that agree in these bits count
@@ -133,33 +149,29 @@ def long_lists(read: DataFrame, width: int, buckets: int) -> np.ndarray:
         count = np.frombuffer(b"".join(table["count"].to_pylist()), np.uint8)
         found, back = np.unique(value, return_inverse=True)
         sums = np.bincount(back, count).astype(np.int64)
-        often = sums > LONG_LIST
-        return pa.table({"value": found[often].astype(np.int64), "n": sums[often]})
+        return pa.table({"value": found[sums > LONG_LIST].astype(np.int64)})
 
     sent = in_tasks(read, send, "bucket int, value binary, count binary")
-    counted = sent.groupBy("bucket").applyInArrow(total, "value long, n long")
-    best = stored(read.sparkSession, counted.orderBy(F.desc("n"), "value").limit(KNOWN_LONG).select("value"), "frequent").toArrow()
-    return np.sort(np.asarray(best["value"]).astype(np.uint32))
+    long = stored(read.sparkSession, sent.groupBy("bucket").applyInArrow(total, "value long"), "frequent")
+    bits = min(KNOWN_LONG, BITS_EACH * max(1, long.count()))
+    marks = bitmap(long.select(F.shiftright(F.col("value") * bits, 32).alias("slot")), bits)
+    drop(read.sparkSession, long)
+    return marks, bits
 
 
-def signatures(spark: SparkSession, read: DataFrame, width: int, threshold: float, known: np.ndarray) -> DataFrame:
+def signatures(spark: SparkSession, read: DataFrame, width: int, threshold: float, known: tuple[np.ndarray, int]) -> DataFrame:
     """Per document ``id``, set size ``n``, fingerprint ``f1``, ``f2``, and the offered shingles ``rare``, ``often``."""
     shared = spark.sparkContext.broadcast(known)
     kind = read.schema["id"].dataType.simpleString()
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value
+        marks, bits = shared.value
         for batch in slices(batches, "text"):
             rows = []
             for found in shingle_sets(_bounds(batch, "text"), width):
                 size = len(found)
                 offered = size - smallest_overlap(size, threshold) + 1 if size else 0
-                if len(frequent):
-                    head = (found >> np.uint64(32)).astype(np.uint32)
-                    place = np.minimum(np.searchsorted(frequent, head), len(frequent) - 1)
-                    long = frequent[place] == head
-                else:
-                    long = np.zeros(size, bool)
+                long = is_set(marks, (((found >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)).astype(np.int64))
                 rare, often = found[~long][:offered], found[long]
                 often = often[: offered - len(rare)]
                 one, two = mixed(found), mixed(found ^ np.uint64(0x5851F42D4C957F2D))
@@ -189,10 +201,8 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("node", "sizes"))).alias("list"))
         .where(F.size("list") > 1)
     )
-    fits = F.size("list") <= LONG_LIST
     pairs = (
-        short.where(fits)
-        .select("list", F.posexplode("list").alias("at", "x"))
+        short.select("list", F.posexplode("list").alias("at", "x"))
         .select("x", F.explode(F.slice("list", F.col("at") + 2, F.size("list"))).alias("y"))
     )
     n = [F.shiftright(F.col(side)["sizes"], 31) for side in "xy"]
@@ -203,14 +213,11 @@ def candidates(classes: DataFrame, threshold: float) -> DataFrame:
     rest = F.greatest(*(size - offered(size) for size in n))
     counted = pairs.where(possible).groupBy("x", "y").agg(F.count("*").alias("shared"))
     likely = counted.where(F.col("shared") + F.least(*long) >= needed - rest)
-    # A list that is long though its shingle was not known to be: through its smallest class, like known ones.
-    unknown = short.where(~fits).select(F.col("list")[0]["node"].alias("b"), F.explode("list.node").alias("a"))
     frequent = classes.select("node", F.explode("often").alias("shingle"))
     first = frequent.groupBy("shingle").agg(F.min("node").alias("b"), F.count("*").alias("s")).where("s > 1").drop("s")
     through = frequent.join(first, "shingle").select(F.col("node").alias("a"), "b")
     return (
         likely.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .unionByName(unknown.select("a", "b"))
         .unionByName(through)
         .where("a <> b")
         .distinct()
@@ -223,11 +230,7 @@ def wanted_sets(spark: SparkSession, read: DataFrame, nodes: DataFrame, width: i
     The marks are a bitmap of fixed size, by a hash of the id.
     """
     slot = F.pmod(F.xxhash64("node"), F.lit(MARKS))
-    words = nodes.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).cast("int").alias("word"))
-    bits = words.agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 32 AS INT)))").alias("bits")).toArrow()
-    marks = np.zeros(MARKS // 32, np.uint32)
-    marks[np.asarray(bits["word"])] = np.asarray(bits["bits"]).astype(np.uint32)
-    shared = spark.sparkContext.broadcast(marks)
+    shared = spark.sparkContext.broadcast(bitmap(nodes.select(slot.alias("slot")), MARKS))
     kind = read.schema["id"].dataType.simpleString()
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +239,7 @@ def wanted_sets(spark: SparkSession, read: DataFrame, nodes: DataFrame, width: i
         def marked() -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 slot = np.asarray(_bounds(batch, "slot")).astype(np.int64)
-                yield batch.filter(pa.array((marks[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1 == 1))
+                yield batch.filter(pa.array(is_set(marks, slot)))
 
         for batch in slices(marked(), "text"):
             sets = [found.tobytes() for found in shingle_sets(_bounds(batch, "text"), width)]
@@ -293,10 +296,10 @@ def _linked(threshold: float) -> Callable[[tuple, pa.Table], pa.Table]:
     def compare(key: tuple, table: pa.Table) -> pa.Table:  # noqa: ARG001
         side, node = np.asarray(table["side"]), np.asarray(table["node"])
         sets = [np.frombuffer(s, np.uint64) for s in table["set"].to_pylist()]
+        root, made = np.unique(np.asarray(table["label"]), return_inverse=True)[1], []
         held, asking = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         within = not len(asking)
         index = Block([sets[k] for k in held])
-        root, made = np.arange(len(sets)), []
         for rank, k in enumerate(held if within else asking):
             apart = root[held] != root[k]
             if within:
@@ -311,32 +314,79 @@ def _linked(threshold: float) -> Callable[[tuple, pa.Table], pa.Table]:
     return compare
 
 
-def links(clusters: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links that hold, compared in blocks; ``clusters`` has ``node``, ``root`` and ``n``.
+def links(spark: SparkSession, clusters: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links that hold, compared in blocks, or others that connect the same; ``clusters`` has ``node``, ``root`` and ``n``.
 
     The classes of a cluster are parted by size into bands, and bands into blocks.  Sizes that allow
-    a link are in one band or in neighbouring ones, so only such blocks meet.
+    a link are in one band or in neighbouring ones, so only such blocks meet.  The pairs of blocks of a
+    cluster grow with its square, and each needs a copy of its sets, so that they meet in rounds by
+    the distance of their places: within one distance a block meets four others at most.  Blocks
+    that a round has found to be linked as a whole meet no more.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-log(threshold))).cast("int")
     banded = clusters.withColumn("band", band).withColumn("group", F.xxhash64("root", "band"))
     blocks = numbered(banded, "group", ["node", "root", "band"], "place").withColumn("block", F.floor(F.col("place") / BLOCK))
-    about = blocks.groupBy("root", "band", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    one, two = about.alias("one"), about.alias("two")
-    same = (F.col("one.band") == F.col("two.band")) & (F.col("one.block") == F.col("two.block"))
-    later = (F.col("two.band") == F.col("one.band") + 1) | (
-        (F.col("two.band") == F.col("one.band")) & (F.col("two.block") >= F.col("one.block"))
+    blocks = stored(spark, blocks.select("root", "band", "block", "node", "n"), "blocks")
+    whole = blocks.agg(F.sum("n")).first()[0] or 0
+    found, done = None, -1
+    while True:
+        labelled = blocks.withColumn("label", F.col("node"))
+        if found is not None:
+            labels = found.select(F.col("a").alias("node"), F.col("b").alias("root_of"))
+            labelled = blocks.join(labels, "node", "left").withColumn("label", F.coalesce("root_of", "node")).drop("root_of")
+        pairs = meeting(labelled, threshold).where(F.col("distance") > done)
+        moved = pairs.groupBy("distance").agg(F.sum("moved").alias("moved")).orderBy("distance").collect()
+        if not moved:
+            return found if found is not None else blocks.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        taken, done = moved[0]["moved"], moved[0]["distance"]
+        for row in moved[1:]:
+            if taken + row["moved"] > COPIES * whole:
+                break
+            taken, done = taken + row["moved"], row["distance"]
+        last = done == moved[-1]["distance"]
+        if found is None and not last:
+            sets = stored(spark, sets, "sets")
+        compared = compare(labelled, pairs.where(F.col("distance") <= done), sets, threshold)
+        if found is None and last:
+            return compared
+        # What is linked so far, each class with the smallest one.
+        joined = components(spark, compared if found is None else found.unionByName(compared))
+        before, found = found, stored(spark, joined.select(F.col("node").alias("a"), F.col("root").alias("b")), "linked")
+        if before is not None:
+            drop(spark, before)
+        if last:
+            drop(spark, sets)
+            return found
+
+
+def meeting(blocks: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of blocks that may hold links: the structs ``one`` and ``two``, ``same`` if these are one block, how far apart their places are, and
+    the sizes of their sets, ``moved``.  Two blocks with the same single ``label`` are left out."""
+    about = blocks.groupBy("root", "band", "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.sum("n").alias("all"), F.min("label").alias("first"), F.max("label").alias("last")
     )
+    count = Window.partitionBy("root", "band")
+    about = about.withColumn("blocks", F.max("block").over(count) + 1)
+    one, two = about.alias("one"), about.withColumn("meets", F.explode(F.array("band", F.col("band") - 1))).alias("two")
+    same = (F.col("one.band") == F.col("two.band")) & (F.col("one.block") == F.col("two.block"))
+    later = (F.col("two.band") > F.col("one.band")) | (F.col("two.block") >= F.col("one.block"))
     # A size on the edge of a band may be put on either side of it.
     near = F.col("one.high") >= threshold * F.col("two.low") - _DELTA
-    met = one.join(two, (F.col("one.root") == F.col("two.root")) & later & near)
-    sides = [
-        F.struct(F.col(f"{b}.root").alias("root"), F.col(f"{b}.band").alias("band"), F.col(f"{b}.block").alias("block"), F.lit(k).alias("side"))
-        for k, b in enumerate(("one", "two"))
-    ]
+    apart = F.least("one.first", "two.first") < F.greatest("one.last", "two.last")
+    met = one.join(two, (F.col("one.root") == F.col("two.root")) & (F.col("one.band") == F.col("two.meets")) & later & near & apart)
+    distance = F.pmod(F.col("two.block") - F.col("one.block"), F.greatest("one.blocks", "two.blocks"))
+    moved = F.col("one.all") + F.when(same, 0).otherwise(F.col("two.all"))
+    sides = [F.struct(*(F.col(f"{b}.{c}").alias(c) for c in ("root", "band", "block"))).alias(b) for b in ("one", "two")]
+    return met.select(*sides, same.alias("same"), distance.alias("distance"), moved.alias("moved"))
+
+
+def compare(blocks: DataFrame, pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a``, ``b`` between the sets of each pair of blocks, but for those within a ``label``."""
+    sides = [F.struct(f"{b}.root", f"{b}.band", f"{b}.block", F.lit(k).alias("side")) for k, b in enumerate(("one", "two"))]
     pair = F.xxhash64("one.root", "one.band", "one.block", "two.band", "two.block").alias("pair")
-    places = met.select(pair, F.inline(F.when(same, F.array(sides[0])).otherwise(F.array(*sides))))
-    members = places.join(blocks.select("root", "band", "block", "node"), ["root", "band", "block"])
-    compared = members.join(sets, "node").select("pair", "side", "node", "set").groupBy("pair")
+    places = pairs.select(pair, F.inline(F.when(F.col("same"), F.array(sides[0])).otherwise(F.array(*sides))))
+    members = places.join(blocks.select("root", "band", "block", "node", "label"), ["root", "band", "block"])
+    compared = members.join(sets, "node").select("pair", "side", "node", "label", "set").groupBy("pair")
     return compared.applyInArrow(_linked(threshold), "a long, b long")
 
 
@@ -376,7 +426,7 @@ def near_duplicates(
     drop(spark, offering)
     grouped = stored(spark, clusters.join(classes.select("node", "n"), "node"), "clusters")
     sets = wanted_sets(spark, read, grouped.select("node"), width)
-    roots = components(spark, links(grouped, sets, threshold))
+    roots = components(spark, links(spark, grouped, sets, threshold))
     labelled = classes.select(*equal, "node").join(roots, "node", "left")
     labelled = labelled.select(*equal, F.coalesce("root", "node").alias("label"))
     return slim.join(labelled, equal, "left").select(

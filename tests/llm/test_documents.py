@@ -8,6 +8,7 @@ from pathlib import Path
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import brute
 from brute import contamination, fixed_forms, near_duplicates
@@ -55,6 +56,35 @@ def test_near_duplicates_without_known_long_lists(spark, alike, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == near_duplicates(alike, 3, 90)
 
 
+def test_all_long_lists_are_marked(spark):
+    often = [f"a{k} b{k} c{k}" for k in range(3000)]
+    rows = [(k, " x y ".join(often[k % 2 :: 2])) for k in range(60)]
+    marks, bits = jaccard_join.long_lists(frame(spark, rows).selectExpr("doc_id AS id", "text"), 3, 16)
+
+    def share(texts):
+        head = np.concatenate([s for s in jaccard_join.shingle_sets(pa.array(texts), 3)]) >> np.uint64(32)
+        return jaccard_join.is_set(marks, ((head * np.uint64(bits)) >> np.uint64(32)).astype(np.int64)).mean()
+
+    assert share([text for _, text in rows]) == 1
+    assert share([f"p{k} q{k} r{k}" for k in range(3000)]) < 0.05
+
+
+def test_near_duplicates_of_large_clusters_meet_in_rounds(spark, alike, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "KNOWN_LONG", 3)
+    moved, compare = [], jaccard_join.compare
+
+    def counted(blocks, pairs, sets, threshold):
+        moved.append(pairs.agg(F.sum("moved")).first()[0] / blocks.agg(F.sum("n")).first()[0])
+        return compare(blocks, pairs, sets, threshold)
+
+    monkeypatch.setattr(jaccard_join, "compare", counted)
+    found = jaccard_join.near_duplicates(spark, frame(spark, alike), 3, 0.9).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == near_duplicates(alike, 3, 90)
+    assert len(moved) > 1
+    assert max(moved) <= 4
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (9, "a b c d")]
     found = jaccard_join.near_duplicates(spark, frame(spark, rows), 3, 0.9).collect()
