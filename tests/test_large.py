@@ -83,6 +83,40 @@ def test_best_unseen_equals_brute_force(spark, block):
     assert none.count() == 0
 
 
+def test_best_unseen_with_floors_equals_brute_force(spark, monkeypatch):
+    """Blocks hand on only what reaches the floor that the longest items set."""
+    monkeypatch.setattr(factors, "LONGEST", 12)
+    rng = np.random.default_rng(5)
+    users = {k: np.round(rng.normal(size=3), 1) for k in range(40)}
+    items = {k: np.round(rng.normal(size=3), 1) * (3 if k % 10 == 0 else 1) for k in range(120)}
+    # One user has seen all long items but two, one all items but three, one nothing.
+    seen = {(1, k) for k in range(0, 100, 10)} | {(2, k) for k in range(117)} | {(u, int(k)) for u in range(4, 40) for k in rng.integers(0, 120, 9)}
+    left = spark.createDataFrame([(u, v.tolist()) for u, v in users.items()], "user long, vector array<double>")
+    right = spark.createDataFrame([(i, v.tolist()) for i, v in items.items()], "item long, vector array<double>")
+    pairs = spark.createDataFrame([*seen, (3, None), (None, 4)], "user long, item long")
+    floored, whole = [], factors._with_floors
+    monkeypatch.setattr(factors, "_with_floors", lambda *given: floored.append(whole(*given)) or floored[-1])
+    found = factors.best_unseen(left, right, pairs, "user", "item", 4, 25)
+    assert sorted(rows(found, "user", "item", "rank")) == sorted(best(users, items, seen, 4))
+    assert len(floored) == 1 and 30 < floored[0].where("floor IS NOT NULL").count() < 40
+    # Vectors of one length set no floor.
+    alike = right.withColumn("vector", F.expr("array(1.0D, 0.0D, 0.0D)"))
+    same = {k: np.array([1.0, 0.0, 0.0]) for k in range(120)}
+    assert sorted(rows(factors.best_unseen(left, alike, pairs, "user", "item", 4, 25), "user", "item", "rank")) == sorted(best(users, same, seen, 4))
+    assert "floor" not in floored[-1].columns
+
+
+def test_products_below_a_floor_are_left_out():
+    rng = np.random.default_rng(6)
+    left, right = rng.random((30, 3)), rng.random((5000, 3)) * rng.random((5000, 1))
+    products = (left @ right.T).round(9)
+    floor = -np.sort(-products, axis=1)[:, 2]
+    floor[:5] = -np.inf
+    found = [(int(r), int(c)) for rows, places, _ in largest_products(6)(left, right, floor=floor) for r, c in zip(rows, places, strict=True)]
+    assert found == [(r, int(c)) for r in range(30) for c in np.argsort(-products[r], kind="stable")[: 6 if r < 5 else 3]]
+    assert not list(largest_products(6)(left, right, floor=np.full(30, 9.0)))
+
+
 def test_factors_recommend_what_fits_and_is_not_rated(spark, tmp_path):
     # Two tastes: even users like even items, odd ones odd items.  Every user lacks two items of each kind.
     rated = spark.range(24 * 16).select(
