@@ -417,14 +417,16 @@ def near_duplicates(
         .groupBy(*equal)
         .agg(F.min("id").alias("node"), F.first("rare").alias("rare"), F.first("often").alias("often"))
     )
-    offering = stored(spark, classes, "offering")
+    # Gapless runs of numbers take far fewer bytes of a shuffle than ids, which may be hashes.
+    offering = stored(spark, classes.withColumn("number", F.monotonically_increasing_id()), "offering")
     # What the classes offer is read once more, for the candidates; later steps need only the rest.
     slim = stored(spark, signed.select("id", *equal), "sizes")
     drop(spark, signed)
-    classes = stored(spark, offering.select(*equal, "node"), "classes")
-    clusters = components(spark, candidates(offering, threshold))
+    classes = stored(spark, offering.select(*equal, "node", "number"), "classes")
+    clusters = components(spark, candidates(offering.drop("node").withColumnRenamed("number", "node"), threshold))
     drop(spark, offering)
-    grouped = stored(spark, clusters.join(classes.select("node", "n"), "node"), "clusters")
+    clusters = clusters.withColumnRenamed("node", "number")
+    grouped = stored(spark, clusters.join(classes.select("number", "node", "n"), "number").drop("number"), "clusters")
     sets = wanted_sets(spark, read, grouped.select("node"), width)
     roots = components(spark, links(spark, grouped, sets, threshold))
     labelled = classes.select(*equal, "node").join(roots, "node", "left")

@@ -85,6 +85,22 @@ def test_near_duplicates_of_large_clusters_meet_in_rounds(spark, alike, monkeypa
     assert max(moved) <= 4
 
 
+def test_candidates_move_numbers_instead_of_ids(spark, alike, monkeypatch):
+    """Ids may be hashes; what meets in lists are numbers that repeat their upper bytes."""
+    held, candidates = [], jaccard_join.candidates
+
+    def watched(classes, threshold):
+        held.extend(r.node for r in classes.select("node").collect())
+        return candidates(classes, threshold)
+
+    monkeypatch.setattr(jaccard_join, "candidates", watched)
+    ids = {crc32(b"%d" % k) << 31: k for k, _ in alike}
+    rows = [(new, text) for new, (_, text) in zip(ids, alike, strict=True)]
+    found = jaccard_join.near_duplicates(spark, frame(spark, rows), 5, 0.8).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == near_duplicates(rows, 5, 80)
+    assert held and len(set(held)) == len(held) and not set(held) & set(ids) - {0}
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (9, "a b c d")]
     found = jaccard_join.near_duplicates(spark, frame(spark, rows), 3, 0.9).collect()
